@@ -81,23 +81,36 @@ def text_length(c) -> Column:
     return F.char_length(F.coalesce(col_(c), F.lit("")))
 
 
+def occurrences(c, sub: str) -> Column:
+    """Non-overlapping occurrences of a literal substring (no array built)."""
+    c = col_(c)
+    return ((F.char_length(c) - F.char_length(F.replace(c, F.lit(sub), F.lit("")))) / F.lit(len(sub))).cast("int")
+
+
 def token_count(c, sep: str = "|", none_marker: str = "[none]") -> Column:
-    """``len(t.split(sep))`` for non-empty tokens strings; "" or the
-    none-marker or null -> 0.  ``split`` uses a regex, so the separator is
-    quoted."""
+    """``len(t.split(sep))`` (= separators + 1) for a non-empty tokens
+    string; "" or the none-marker or null -> 0."""
     c = col_(c)
-    pat = "\\Q" + sep + "\\E"
     return (
         F.when(c.isNull() | (c == F.lit("")) | (c == F.lit(none_marker)), F.lit(0))
-        .otherwise(F.size(F.split(c, pat, -1)))
+        .otherwise(occurrences(c, sep) + F.lit(1))
         .cast("int")
     )
 
 
+def line_count(c) -> Column:
+    """Lines of a text: newlines + 1 (``len(t.split("\\n"))``); null stays null."""
+    return (occurrences(c, "\n") + F.lit(1)).cast("int")
+
+
+# Fixed word definition: a maximal run of characters other than
+# space, tab, newline, carriage return and form feed.
+WORD_PATTERN = "[^ \t\n\r\f]+"
+
+
 def word_count(c) -> Column:
-    """Whitespace-separated word count of the whole text (0 for null/blank)."""
-    t = F.trim(F.coalesce(col_(c), F.lit("")))
-    return F.when(t == F.lit(""), F.lit(0)).otherwise(F.size(F.split(t, r"\s+"))).cast("int")
+    """Word count of the whole text (0 for null/blank), without splitting."""
+    return F.coalesce(F.regexp_count(col_(c), F.lit(WORD_PATTERN)), F.lit(0)).cast("int")
 
 
 def parse_ts(c, fmt: str | None = None) -> Column:

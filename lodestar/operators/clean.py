@@ -47,12 +47,18 @@ def clean_table(df: DataFrame, min_non_null: float = MIN_NON_NULL_SHARE) -> Data
     nums = numeric_columns(dedup)
     strs = string_columns(dedup)
     fills: dict[str, object] = {}
-    if nums:
-        med = column_medians_dict(dedup, nums)
+    # a fill only matters where nulls remain; non-null counts after the
+    # de-duplication decide which statistics are needed at all
+    dcounts = {r["column"]: (r["n_rows"], r["non_null"]) for r in non_null_counts(dedup).collect()}
+    holes = {c for c, (n, nn) in dcounts.items() if nn < n}
+    num_holes = [c for c in nums if c in holes]
+    str_holes = [c for c in strs if c in holes]
+    if num_holes:
+        med = column_medians_dict(dedup, num_holes)
         fills.update({c: v for c, v in med.items() if v is not None})
-    if strs:
-        got = {r["column"]: r["mode"] for r in modes(dedup, strs).collect()}
-        fills.update({c: got.get(c, UNKNOWN_MODE) for c in strs})
+    if str_holes:
+        got = {r["column"]: r["mode"] for r in modes(dedup, str_holes).collect()}
+        fills.update({c: got.get(c, UNKNOWN_MODE) for c in str_holes})
     filled = dedup
     for c, v in fills.items():
         filled = filled.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(dedup.schema[c].dataType)))

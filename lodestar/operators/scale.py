@@ -39,11 +39,28 @@ def min_max(
     return out.drop(*[f"{c}__{s}" for c in columns for s in ("min", "max")]), bounds
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+def null_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns of ``columns`` holding at least one null (one aggregate pass)."""
+    columns = list(columns)
+    if not columns:
+        return []
+    row = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]
+
+
+def impute_median(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, only_if_missing: bool = True
+) -> DataFrame:
     """``X.fillna(X.median())`` with exact medians (Spark ML ``Imputer``
-    uses an approximate quantile).  Medians are a schema-width dict."""
+    uses an approximate quantile).  Medians are a schema-width dict.
+
+    A fill only changes columns that hold nulls, so by default one cheap
+    null-count pass decides which columns need the (sort-based) median."""
     columns = list(columns)
-    med = column_medians_dict(fit_on if fit_on is not None else df, columns)
+    src = fit_on if fit_on is not None else df
+    need = null_columns(df, columns) if only_if_missing else columns
+    med = column_medians_dict(src, need) if need else {}
+    med = {c: med.get(c) for c in columns}
     out = df
     for c in columns:
         if med[c] is not None:

@@ -20,6 +20,10 @@ from lodestar.plans import reports as Rp
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# the word definition of functions.exprs.WORD_PATTERN, as an RE2 pattern
+_WORDRE = "[^ \\t\\n\\r\\f]+"
+
+
 def _enc(expr: str) -> str:
     """SQL label code: 0-based dense rank in string order."""
     return f"CAST(dense_rank() OVER (ORDER BY {expr}) - 1 AS INTEGER)"
@@ -203,10 +207,10 @@ _CATEGORY_VALUES = ", ".join(
 SQL_VIDEO = """
 WITH d AS (
   SELECT d.doc_id, d.lang AS country, d.source AS title, d.n_chars AS views,
-         CASE WHEN trim(coalesce(d.text, '')) = '' THEN 0
-              ELSE len(regexp_split_to_array(trim(coalesce(d.text, '')), '\\s+')) END AS likes,
-         len(string_split(d.text, chr(10))) AS comments,
-         CASE WHEN d.text IS NULL OR d.text = '' OR d.text = '[none]' THEN 0 ELSE len(string_split(d.text, '.')) END AS tag_count,
+         coalesce(len(regexp_extract_all(d.text, '""" + _WORDRE + """')), 0) AS likes,
+         length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS comments,
+         CASE WHEN d.text IS NULL OR d.text = '' OR d.text = '[none]' THEN 0
+              ELSE length(d.text) - length(replace(d.text, '.', '')) + 1 END AS tag_count,
          TRY_CAST(CAST(e.ts AS VARCHAR) AS TIMESTAMP) AS publish_time,
          CAST(d.n_chars % 30 AS INTEGER) AS category_id
   FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id
@@ -401,12 +405,12 @@ SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, fe
 )
 
 # ---------------------------------------------------------------- evaluation
-_WORDS = "CASE WHEN trim(coalesce(d.text, '')) = '' THEN 0 ELSE len(regexp_split_to_array(trim(coalesce(d.text, '')), '\\s+')) END"
+_WORDS = "coalesce(len(regexp_extract_all(d.text, '" + _WORDRE + "')), 0)"
 _SCORED = """
 WITH base AS (
   SELECT l.doc_id, l.quality, l.toxic, CAST(d.n_chars AS DOUBLE) AS n_chars,
          CAST(""" + _WORDS + """ AS DOUBLE) AS words,
-         CAST(len(string_split(d.text, chr(10))) AS DOUBLE) AS lines
+         CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS DOUBLE) AS lines
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 ),
 tasks AS (

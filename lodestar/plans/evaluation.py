@@ -32,7 +32,7 @@ def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         X.word_count("text").cast("double").alias("words"),
-        F.size(F.split(F.col("text"), "\n", -1)).cast("double").alias("lines"),
+        X.line_count("text").cast("double").alias("lines"),
     )
     base = labels.join(docs, "doc_id", "inner")
     models = F.explode(

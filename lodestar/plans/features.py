@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from lodestar.functions import exprs as X
 from lodestar.operators.encode import encode
 from lodestar.operators.group_stats import group_stat_flag, median_flag
-from lodestar.operators.order_stats import exact_sample, global_quantile_col
+from lodestar.operators.encode import apply_labels, fit_labels
+from lodestar.operators.order_stats import exact_sample, group_quantiles
 from lodestar.operators.scale import impute_median
+from lodestar.session import stage
 from lodestar.sources.io import read_table
 
 # Fixed values that must match the reference: video category id -> name
@@ -65,7 +67,9 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
         .na.drop(subset=["price", "state", "area_type"])
         .withColumn("country_flag", F.lit("C"))
     )
-    lot_median = global_quantile_col(first, "lot", out="lot")  # one row
+    # both medians (the first source's lot, and price per state after the
+    # union) come from one sorted pass; price rows do not depend on lot
+    first = stage(first, "first_source")
     second = (
         supp.where(X.between_exclusive("s_acctbal", -500, 9500) & X.between_inclusive("s_nationkey", 0, 24))
         .join(nation, supp.s_nationkey == nation.n_nationkey, "left")
@@ -76,12 +80,22 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
             X.bucket("s_acctbal", [(5000, "urban"), (1000, "suburban")], "rural").alias("area_type"),
         )
         .na.drop(subset=["price", "state"])
-        .withColumn("lot", lot_median.select("lot").scalar())
         .withColumn("country_flag", F.lit("S"))
     )
-    cols = ["name", "price", "state", "area_type", "lot", "country_flag"]
-    combined = first.select(*cols).unionByName(second.select(*cols))
-    flagged = group_stat_flag(combined, ["state"], "price", out="above_market", stat_col="state_median")
+    key_cols = ["name", "price", "state", "area_type", "country_flag"]
+    stat_rows = (
+        first.select(F.lit("lot").alias("_stat"), F.lit(None).cast("string").alias("state"), F.col("lot").alias("_x"))
+        .unionByName(first.select(F.lit("price").alias("_stat"), "state", F.col("price").alias("_x")))
+        .unionByName(second.select(F.lit("price").alias("_stat"), "state", F.col("price").alias("_x")))
+        .withColumn("state", F.coalesce("state", F.lit("")))
+    )
+    meds = stage(group_quantiles(stat_rows, ["_stat", "state"], "_x", out="_m"), "medians")  # groups + 1 rows
+    lot_value = meds.where(F.col("_stat") == "lot").select("_m").scalar()
+    state_med = meds.where(F.col("_stat") == "price").select("state", F.col("_m").alias("state_median"))
+    combined = first.select(*key_cols, "lot").unionByName(second.select(*key_cols).withColumn("lot", lot_value))
+    flagged = combined.join(state_med, "state", "left").withColumn(
+        "above_market", X.threshold_flag("price", F.col("state_median"), ">")
+    )
     encoded, _ = encode(flagged, {"area_type": "area_enc", "state": "state_enc"}, fill={"area_type": "suburban", "state": "Unknown"})
     return encoded.select(
         "name", "country_flag", "state", "price", F.round("lot", 6).alias("lot"), "area_type",
@@ -220,6 +234,7 @@ def listing_sold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_type",
         "l_returnflag",
     )
+    df = stage(df, "listing_base")  # read by the dictionary, null-count and output passes
     df, _ = encode(df, {"p_type": "type_enc", "l_returnflag": "flag_enc"}, fill={"p_type": "STANDARD", "l_returnflag": "N"})
     feats = ["type_enc", "flag_enc", "brand_no", "p_size", "p_retailprice", "l_quantity", "l_extendedprice", "big_part"]
     df = impute_median(df, feats)
@@ -290,11 +305,13 @@ def video_engagement_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("title"),
         F.col("n_chars").alias("views"),
         X.word_count("text").alias("likes"),
-        F.size(F.split(F.col("text"), "\n", -1)).alias("comments"),
+        X.line_count("text").alias("comments"),
         X.token_count("text", sep=".").alias("tag_count"),
         X.parse_ts(F.col("ts").cast("string")).alias("publish_time"),
         (F.col("n_chars") % F.lit(30)).cast("int").alias("category_id"),
     )
+    # whole texts are scanned once: the statistics below read this table
+    df = stage(df, "post_features")
     df = df.select(
         "doc_id",
         "country",
