@@ -1,3 +1,131 @@
-"""Model-fitting queries (no SQL oracle): filled in below."""
+"""Model queries: ``(spark, sf_dir) -> DataFrame`` jobs that fit models
+(SMOTE, the classifier panel, importances, cross-validation, tuning,
+bundles, stream scoring).  They read the driver's tables like every other
+query; their outputs depend on fitted models, so they have no SQL oracle
+and are checked by invariant tests.
+"""
 
-MODEL_QUERIES: dict = {}
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestar.models.panel import cross_validate, prepare, retrain_until, train_panel
+from lodestar.models.score import batch_score, load_bundle, make_bundle, save_bundle, top_importances
+from lodestar.operators import rank as R
+from lodestar.operators.neighbors import smote
+from lodestar.operators.select import rf_importance
+from lodestar.plans.features import churn_features, market_position_single
+from lodestar.session import checkpoint_root, stage
+
+CHURN_FEATURES = [
+    "segment_enc", "nation", "avg_calls", "avg_views", "avg_discount", "avg_revenue", "c_acctbal", "total_deals", "months_active",
+]
+MARKET_FEATURES = ["lot", "state_enc", "priority_enc"]
+
+
+def _churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(churn_features(spark, sf_dir), "churn_table")
+
+
+def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: class sizes before/after SMOTE on the churn table."""
+    bal = smote(_churn(spark, sf_dir), "churned", CHURN_FEATURES, k=5, seed=42)
+    return bal.groupBy("churned").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("synthetic").cast("long").alias("n_synthetic")
+    )
+
+
+def model_panel_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every family (small settings) on the market-position rows."""
+    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"])
+    return R.rank_models(scores, "f1", within=[], tie=["model"])
+
+
+def churn_smote_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The churn task as in the reference: SMOTE-balanced, then the panel."""
+    bal = stage(smote(_churn(spark, sf_dir), "churned", CHURN_FEATURES, k=5, seed=42), "churn_balanced")
+    bal = bal.withColumn("_row", F.monotonically_increasing_id())
+    bal = stage(bal, "churn_balanced_keyed")
+    scores, _, _ = train_panel(bal, "churned", CHURN_FEATURES, profile="fast", key_cols=["_row"],
+                               families=["LogisticRegression", "DecisionTree", "RandomForest", "GaussianNB", "KNN"])
+    return scores
+
+
+def panel_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best family by F1 (first in panel order on ties)."""
+    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"],
+                               families=["LogisticRegression", "DecisionTree", "GaussianNB"])
+    return R.best_model(scores.withColumn("task", F.lit("market")), within=["task"], by="f1")
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random-forest importances on the churn table."""
+    return rf_importance(_churn(spark, sf_dir), "churned", CHURN_FEATURES, trees=50)
+
+
+def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-fold stratified CV F1 of logistic regression."""
+    prep = prepare(_churn(spark, sf_dir), "churned", CHURN_FEATURES, key_cols=["customer_id"])
+    f1 = cross_validate(prep.train, "LogisticRegression", folds=5)
+    return spark.createDataFrame([("LogisticRegression", float(f1))], "model string, cv_f1 double")
+
+
+def retrain_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tuned retrain iterations and the running best."""
+    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    hist = retrain_until(rows, "above_market", MARKET_FEATURES, max_iter=2, families=["LogisticRegression", "RandomForest"],
+                         tune_points=2)
+    return R.running_best(hist, "iteration", ["f1", "roc_auc"])
+
+
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 + M19: fit, save and reload a bundle, then score every customer
+    row (with one feature column missing, so its saved default is used)."""
+    churn = _churn(spark, sf_dir)
+    scores, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["RandomForest"], key_cols=["customer_id"])
+    bundle = make_bundle(fitted["RandomForest"], "RandomForest", CHURN_FEATURES, churn, prep.bounds)
+    path = f"{checkpoint_root(spark).rstrip('/')}/bundles/churn-{uuid.uuid4().hex}"
+    save_bundle(bundle, path)
+    loaded = load_bundle(spark, path)
+    return batch_score(churn.drop("avg_views"), loaded, keep=["customer_id", "churned"])
+
+
+def bundle_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-5 importances of the best tree model."""
+    churn = _churn(spark, sf_dir)
+    _, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["RandomForest"], key_cols=["customer_id"])
+    bundle = make_bundle(fitted["RandomForest"], "RandomForest", CHURN_FEATURES, churn, prep.bounds)
+    return top_importances(spark, bundle, k=5)
+
+
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19 on Structured Streaming: the churn rows are written as a file
+    stream source, scored incrementally, and the scored files read back."""
+    from lodestar.streaming.scoring import score_stream
+
+    churn = _churn(spark, sf_dir)
+    _, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["LogisticRegression"], key_cols=["customer_id"])
+    bundle = make_bundle(fitted["LogisticRegression"], "LogisticRegression", CHURN_FEATURES, churn, prep.bounds)
+    root = f"{checkpoint_root(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    churn.repartition(4).write.parquet(f"{root}/in")
+    score_stream(spark, f"{root}/in", churn.schema, bundle, f"{root}/out", keep=["customer_id", "churned"])
+    return spark.read.parquet(f"{root}/out")
+
+
+MODEL_QUERIES = {
+    "smote_balance": smote_balance,
+    "model_panel_fast": model_panel_fast,
+    "churn_smote_panel": churn_smote_panel,
+    "panel_best_model": panel_best_model,
+    "feature_importance": feature_importance,
+    "cross_validated_f1": cross_validated_f1,
+    "retrain_history": retrain_history,
+    "batch_scores": batch_scores,
+    "bundle_importances": bundle_importances,
+    "stream_scores": stream_scores,
+}
