@@ -536,6 +536,29 @@ FROM scores GROUP BY model
 """
 
 
+SQL_CSV_ROUNDTRIP = """
+SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS acctbal_sum, max(c_custkey) AS max_key
+FROM customer GROUP BY c_mktsegment
+"""
+
+SQL_CATALOG_LOAD = "\nUNION ALL\n".join(
+    f"SELECT 'raw_{t}_data' AS \"table\", count(*) AS rows, CAST({_TABLE_COLS[t]} AS BIGINT) AS n_cols, count(*) AS scanned FROM {t}"
+    for t in Rp.LOADED
+)
+
+SQL_LABEL_LISTS = SQL_LABEL_CODES
+
+SQL_DESCRIBE = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    f"min({c}) + 0.0 AS min, max({c}) + 0.0 AS max FROM lineitem"
+    for c in _LF
+)
+
+SQL_USER_UNITS = """
+SELECT doc_id, round(ln(1 + CAST(n_chars AS DOUBLE)), 8) AS log_views, CAST(n_chars % 97 AS DOUBLE) / 1000.0 AS comment_rate
+FROM documents
+"""
+
 QUERIES: dict[str, Query] = {
     # F7/F6 and the flagship
     "market_position_summary": Fe.market_position_summary,
@@ -565,6 +588,11 @@ QUERIES: dict[str, Query] = {
     "largest_table": Rp.largest_table,
     "tagged_scan": Rp.tagged_scan,
     "candidate_manifest": Rp.candidate_manifest,
+    "csv_roundtrip": Rp.csv_roundtrip,
+    "catalog_load": Rp.catalog_load,
+    "label_lists_json": Rp.label_lists_json,
+    "describe_lineitem": Rp.describe_lineitem,
+    "user_unit_conversion": Rp.user_unit_conversion,
     # ranking
     "top_parts_per_brand": Rp.top_parts_per_brand,
     "running_best_daily": Rp.running_best_daily,
@@ -607,6 +635,11 @@ ORACLE_SQL: dict[str, str] = {
     "largest_table": SQL_LARGEST_TABLE,
     "tagged_scan": SQL_TAGGED_SCAN,
     "candidate_manifest": SQL_CANDIDATES,
+    "csv_roundtrip": SQL_CSV_ROUNDTRIP,
+    "catalog_load": SQL_CATALOG_LOAD,
+    "label_lists_json": SQL_LABEL_LISTS,
+    "describe_lineitem": SQL_DESCRIBE,
+    "user_unit_conversion": SQL_USER_UNITS,
     "top_parts_per_brand": SQL_TOP_PARTS,
     "running_best_daily": SQL_RUNNING_BEST,
     "heuristic_scores": SQL_HEURISTIC_SCORES,

@@ -136,3 +136,72 @@ def pruned_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     importance = importance.withColumn("importance", F.round("importance", 6))
     pairs = P.corr_pairs(li, LINE_FEATURES + ["returned"], digits=2)
     return prune_correlated(pairs, importance, threshold=0.95, min_importance=0.001)
+
+
+# ----------------------------------------------------------------- sources round trips
+def _scratch(spark: SparkSession, tag: str) -> str:
+    import uuid
+
+    from lodestar.session import checkpoint_root
+
+    return f"{checkpoint_root(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table through a latin-1 CSV sink and an
+    encoding-aware CSV scan (inferred types), summarised per segment."""
+    path = _scratch(spark, "csv")
+    cust = _t(spark, sf_dir, "customer")
+    io.write_table(cust, path, fmt="csv", encoding="ISO-8859-1")
+    back = io.read_csv(spark, path, encoding="ISO-8859-1")
+    return back.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("acctbal_sum"), F.max("c_custkey").alias("max_key")
+    )
+
+
+LOADED = ["nation", "region", "supplier"]
+
+
+def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files loaded as catalog tables (sanitized names, replace
+    mode, per-file failure isolation) and the registry of what loaded."""
+    root = _scratch(spark, "raw")
+    paths = {}
+    for t in LOADED:
+        p = f"{root}/{t.title()} Data.csv"
+        _t(spark, sf_dir, t).coalesce(1).write.mode("overwrite").option("header", True).csv(p)
+        paths[t] = p
+    paths["broken"] = f"{root}/missing.csv"  # fails and is skipped
+    reg = io.load_tables(spark, paths, database="lodestar_raw")
+    scanned = {r["table"]: spark.table(f"lodestar_raw.{r['table']}").count() for r in reg.collect()}  # S9 scans
+    rows = reg.select("table", "rows", F.size("cols").cast("long").alias("n_cols"))
+    check = spark.createDataFrame(list(scanned.items()), "table string, scanned long")
+    return rows.join(check, "table")
+
+
+def label_lists_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted label lists written as JSON and read back."""
+    path = _scratch(spark, "labels-json")
+    d = fit_labels(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
+    lists = d.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("code", "label"))).alias("entries"))
+    lists.write.mode("overwrite").json(path)
+    back = spark.read.json(path)
+    return back.select("column", F.explode("entries").alias("e")).select("column", F.col("e.label").alias("label"), F.col("e.code").cast("int").alias("code"))
+
+
+def describe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """count/mean/std/min/max per numeric column."""
+    d = P.describe(_t(spark, sf_dir, "lineitem"), LINE_FEATURES)
+    return d.select("column", "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+                    (F.col("min") + 0.0).alias("min"), (F.col("max") + 0.0).alias("max"))
+
+
+def user_unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User units (raw views, comments per 1000 views) converted to the
+    model's units (log views, comment rate) before scoring."""
+    from lodestar.functions import exprs as X
+
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("views"),
+                                                   (F.col("n_chars") % 97).alias("comments_per_1000"))
+    return docs.select("doc_id", F.round(X.log1p("views"), 8).alias("log_views"),
+                       X.per_thousand_to_rate("comments_per_1000").alias("comment_rate"))

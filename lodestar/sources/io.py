@@ -165,9 +165,11 @@ def largest_table(registry: DataFrame) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=None) -> None:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=None, **options: str
+) -> None:
     """S10/S11 sinks: parquet (default), csv or json, optionally partitioned."""
-    w = df.write.mode(mode).format(fmt)
+    w = df.write.mode(mode).format(fmt).options(**options)
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
