@@ -13,7 +13,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import Window
+
 from lodestar.operators.order_stats import attach_row, running_sums
+from lodestar.session import stage
+
+# Histograms (one row per distinct score and group) up to this size are
+# accumulated with one window per group; larger ones with the distributed
+# range-partitioned cumulative sum.
+WINDOW_HIST_MAX = 1_000_000
+
+
+def _cumulate(hist: DataFrame, by, order, cols, prefix: str, inclusive: bool) -> DataFrame:
+    """Cumulative sums of ``cols`` along ``order`` inside each ``by`` group.
+    The histogram is staged and its size checked before choosing the plan."""
+    hist = stage(hist, "score_hist")
+    n = hist.count()
+    if n <= WINDOW_HIST_MAX:
+        w = (Window.partitionBy(*by) if by else Window).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, 0 if inclusive else -1
+        )
+        out = hist
+        for c in cols:
+            out = out.withColumn(prefix + c, F.coalesce(F.sum(c).over(w), F.lit(0)))
+        return out
+    cum = running_sums(hist, [*by, *order], cols, prefix=prefix, inclusive=inclusive)
+    if by:
+        # the distributed sum runs over the whole order: subtract each group's start
+        starts = cum.groupBy(*by).agg(
+            *[F.min(F.col(prefix + c) - (F.col(c) if inclusive else F.lit(0))).alias(f"_s_{c}") for c in cols]
+        )
+        cum = cum.join(starts, list(by))
+        for c in cols:
+            cum = cum.withColumn(prefix + c, F.col(prefix + c) - F.col(f"_s_{c}")).drop(f"_s_{c}")
+    return cum
 
 
 def _safe_div(num, den):
@@ -77,11 +110,7 @@ def roc_auc(pred: DataFrame, label: str, score: str, by: Sequence[str] = (), dig
     """AUC = P(score+ > score-) + 0.5 P(score+ = score-)."""
     hist = score_histogram(pred, label, score, by)
     # negatives strictly below each score, along (group, score) ascending
-    cum = running_sums(hist, [*by, "score"], ["neg"], prefix="below_", inclusive=False)
-    # running_sums runs over the whole order; subtract each group's start
-    if by:
-        start = cum.groupBy(*by).agg(F.min(F.col("below_neg")).alias("_g0"))
-        cum = cum.join(start, list(by)).withColumn("below_neg", F.col("below_neg") - F.col("_g0")).drop("_g0")
+    cum = _cumulate(hist, list(by), [F.col("score")], ["neg"], "below_", inclusive=False)
     agg = cum.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") * F.lit(0.5))).alias("_u"),
         F.sum("pos").alias("_p"),
@@ -98,17 +127,7 @@ def roc_points(pred: DataFrame, label: str, score: str, by: Sequence[str] = ())
     """One point per distinct threshold, scores descending:
     fpr/tpr of ``score >= threshold``."""
     hist = score_histogram(pred, label, score, by)
-    cum = running_sums(hist, [*by, F.col("score").desc()], ["pos", "neg"], prefix="cum_")
-    if by:
-        start = cum.groupBy(*by).agg(
-            F.min(F.col("cum_pos") - F.col("pos")).alias("_p0"), F.min(F.col("cum_neg") - F.col("neg")).alias("_n0")
-        )
-        cum = (
-            cum.join(start, list(by))
-            .withColumn("cum_pos", F.col("cum_pos") - F.col("_p0"))
-            .withColumn("cum_neg", F.col("cum_neg") - F.col("_n0"))
-            .drop("_p0", "_n0")
-        )
+    cum = _cumulate(hist, list(by), [F.col("score").desc()], ["pos", "neg"], "cum_", inclusive=True)
     totals = hist.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     # per group: one totals row per group joined on the key; overall: a scalar row
     joined = cum.join(totals, list(by)) if by else attach_row(cum, totals)

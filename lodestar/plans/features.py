@@ -69,7 +69,6 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # both medians (the first source's lot, and price per state after the
     # union) come from one sorted pass; price rows do not depend on lot
-    first = stage(first, "first_source")
     second = (
         supp.where(X.between_exclusive("s_acctbal", -500, 9500) & X.between_inclusive("s_nationkey", 0, 24))
         .join(nation, supp.s_nationkey == nation.n_nationkey, "left")
@@ -89,7 +88,7 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(second.select(F.lit("price").alias("_stat"), "state", F.col("price").alias("_x")))
         .withColumn("state", F.coalesce("state", F.lit("")))
     )
-    meds = stage(group_quantiles(stat_rows, ["_stat", "state"], "_x", out="_m"), "medians")  # groups + 1 rows
+    meds = group_quantiles(stat_rows, ["_stat", "state"], "_x", out="_m")  # one row per state, plus lot
     lot_value = meds.where(F.col("_stat") == "lot").select("_m").scalar()
     state_med = meds.where(F.col("_stat") == "price").select("state", F.col("_m").alias("state_median"))
     combined = first.select(*key_cols, "lot").unionByName(second.select(*key_cols).withColumn("lot", lot_value))
