@@ -121,16 +121,21 @@ def load_tables(
     """Load many files as catalog tables; one failing file is
     skipped.  Returns registry rows (table, source, rows, cols).
 
-    The loop only issues one distributed write per file; no data passes
-    through the driver."""
+    Each table is written at an explicit location under the warehouse, so
+    ``overwrite`` replaces data left by an earlier run (the reference's
+    replace semantics) even when the catalog does not know the table.  The
+    loop only issues one distributed write per file; no data passes through
+    the driver."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     rows = []
     for src_path in sources.values():
         name = safe_table_name(src_path)
         try:
             df = read_csv(spark, src_path) if fmt == "csv" else spark.read.format(fmt).load(src_path)
             df = nan_to_null(sanitize_columns(df))
-            df.write.mode(mode).format("parquet").saveAsTable(f"{database}.{name}")
+            location = f"{root}/{database}.db/{name}"
+            df.write.mode(mode).format("parquet").option("path", location).saveAsTable(f"{database}.{name}")
             n = spark.table(f"{database}.{name}").count()
             rows.append((name, src_path, n, list(df.columns)))
         except Exception as exc:  # per-file failure isolation, as in the reference
