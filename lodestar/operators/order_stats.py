@@ -167,12 +167,22 @@ def exact_sample(
     """Exactly ``min(n, count)`` rows, chosen by a seeded hash order.
 
     Deterministic for a fixed seed and key; no task holds the sample: rows are
-    ranked by ``xxhash64(key, seed)`` with the distributed rank and filtered."""
-    keys = list(key_cols) if key_cols else df.columns
+    ranked by ``xxhash64(key, seed)`` with the distributed rank and filtered.
+    With a unique ``key_cols`` only the narrow (hash, key) table is ranked and
+    the chosen keys (at most ``n``: the sample size bounds that side) are
+    semi-joined back; without one, whole rows are ranked (duplicates stay
+    distinct rows)."""
+    if not key_cols:
+        keys = df.columns
+        h = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
+        ranked = with_global_rank(df.withColumn("_h", h), ["_h", *keys])
+        return ranked.where(F.col(RANK) < F.lit(n)).drop("_h", RANK)
+    keys = list(key_cols)
     h = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
-    tagged = df.withColumn("_h", h)
-    ranked = with_global_rank(tagged, ["_h", *keys])
-    return ranked.where(F.col(RANK) < F.lit(n)).drop("_h", RANK)
+    narrow = df.select(*keys).withColumn("_h", h)
+    chosen = with_global_rank(narrow, ["_h", *keys]).where(F.col(RANK) < F.lit(n)).select(*keys)
+    cond = [df[c].eqNullSafe(chosen[c]) for c in keys]
+    return df.join(chosen, cond, "left_semi")
 
 
 def running_sums(

@@ -63,3 +63,11 @@ def test_attach_row(spark):
     df = spark.range(3)
     one = df.agg(F.max("id").alias("mx"))
     assert [r.mx for r in OS.attach_row(df, one).collect()] == [2, 2, 2]
+
+
+def test_exact_sample_with_key_is_narrow_and_exact(spark):
+    df = spark.range(0, 3000).withColumn("payload", F.col("id") * 2)
+    s = OS.exact_sample(df, 250, seed=9, key_cols=["id"])
+    rows = s.collect()
+    assert len(rows) == 250 and all(r.payload == 2 * r.id for r in rows)
+    assert OS.exact_sample(df, 10_000, key_cols=["id"]).count() == 3000
