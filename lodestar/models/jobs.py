@@ -117,7 +117,47 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def pairplot_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five scaled numeric features plus the target, at most
+    500 rows by a seeded exact sample (the sample size is the feature)."""
+    from lodestar.operators.order_stats import exact_sample
+    from lodestar.operators.scale import min_max
+    from lodestar.plans.features import listing_sold_features
+
+    df = stage(listing_sold_features(spark, sf_dir), "listing_rows")
+    feats = ["type_enc", "flag_enc", "brand_no", "p_size", "p_retailprice"]
+    scaled, _ = min_max(df, feats)
+    picked = exact_sample(scaled.select("l_orderkey", "l_linenumber", *feats, "sold"), 500, seed=42)
+    return picked.select(*feats, "sold")
+
+
+def agent_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generic agent lifecycle as Spark jobs: ML-ready table (F9) ->
+    correlation pairs (A10, target included) -> forest importances (T9) ->
+    correlated-pair pruning (T10) -> min-max scaling and panel (T6, M10) ->
+    ranking by the mean of F1 and AUC (O6)."""
+    from lodestar.operators.profile import corr_pairs, numeric_columns
+    from lodestar.operators.select import prune_correlated
+    from lodestar.plans.features import ml_ready_tables
+    from lodestar.operators.clean import ml_ready
+
+    table, _ = ml_ready(ml_ready_tables(spark, sf_dir))
+    table = stage(table, "agent_ready")
+    candidates = [c for c in numeric_columns(table) if c not in ("churn", "doc_id")]
+    imp = rf_importance(table, "churn", candidates, trees=50)
+    pairs = corr_pairs(table, candidates + ["churn"], digits=2)
+    kept = [r["feature"] for r in prune_correlated(pairs, imp).orderBy("rank").collect()]  # schema-sized list
+    scores, _, _ = train_panel(table, "churn", kept or candidates, profile="fast", key_cols=["doc_id"],
+                               families=["LogisticRegression", "DecisionTree", "RandomForest", "GaussianNB"])
+    mean = (F.col("f1") + F.col("roc_auc")) / 2
+    return R.rank_models(scores.withColumn("f1_auc_mean", mean), "f1_auc_mean", within=[], tie=["model"]).withColumn(
+        "features", F.lit(",".join(kept))
+    )
+
+
 MODEL_QUERIES = {
+    "pairplot_sample": pairplot_sample,
+    "agent_pipeline": agent_pipeline,
     "smote_balance": smote_balance,
     "model_panel_fast": model_panel_fast,
     "churn_smote_panel": churn_smote_panel,

@@ -65,12 +65,17 @@ def heuristic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(task, model, model_order, accuracy, precision, recall, f1, roc_auc)."""
+    """(task, model, model_order, accuracy, precision, recall, f1, roc_auc):
+    one score table per task, tagged and concatenated (U4)."""
     s = scored_long(spark, sf_dir)
-    by = ["task", "model", "model_order"]
-    bm = M.binary_metrics(s, "label", "prediction", by=by)
-    auc = M.roc_auc(s, "label", "score", by=by)
-    return bm.join(auc, by).select(*by, "accuracy", "precision", "recall", "f1", "roc_auc")
+    by = ["model", "model_order"]
+    per_task = {}
+    for t, _ in TASKS:
+        st = s.where(F.col("task") == F.lit(t))
+        bm = M.binary_metrics(st, "label", "prediction", by=by)
+        auc = M.roc_auc(st, "label", "score", by=by)
+        per_task[t] = bm.join(auc, by).select(*by, "accuracy", "precision", "recall", "f1", "roc_auc")
+    return R.tag_and_union(per_task, "task").select("task", *by, "accuracy", "precision", "recall", "f1", "roc_auc")
 
 
 def binary_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
