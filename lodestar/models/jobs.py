@@ -23,13 +23,28 @@ from lodestar.session import checkpoint_root, stage
 CHURN_FEATURES = [
     "segment_enc", "nation", "avg_calls", "avg_views", "avg_discount", "avg_revenue", "c_acctbal", "total_deals", "months_active",
 ]
-MARKET_FEATURES = ["lot", "state_enc", "priority_enc"]
+# no price-derived column: the target is price above the state median
+MARKET_FEATURES = ["acctbal", "order_day", "state_enc", "priority_enc"]
 
 
 def _churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(churn_features(spark, sf_dir), "churn_table")
 
 
+def _market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 rows with non-price attributes of the listing (buyer balance,
+    listing day) joined on the order key."""
+    from lodestar.sources.io import read_table
+
+    rows = market_position_single(spark, sf_dir)
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("acctbal"))
+    extra = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select(
+        "o_orderkey", "acctbal", F.datediff(F.col("o_orderdate"), F.lit("1990-01-01")).alias("order_day")
+    )
+    return stage(rows.join(extra, "o_orderkey", "left"), "market_rows")
+
+
 def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: class sizes before/after SMOTE on the churn table."""
     bal = smote(_churn(spark, sf_dir), "churned", CHURN_FEATURES, k=5, seed=42)
@@ -40,7 +55,7 @@ def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_panel_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every family (small settings) on the market-position rows."""
-    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    rows = _market_rows(spark, sf_dir)
     scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"])
     return R.rank_models(scores, "f1", within=[], tie=["model"])
 
@@ -57,7 +72,7 @@ def churn_smote_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best family by F1 (first in panel order on ties)."""
-    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    rows = _market_rows(spark, sf_dir)
     scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"],
                                families=["LogisticRegression", "DecisionTree", "GaussianNB"])
     return R.best_model(scores.withColumn("task", F.lit("market")), within=["task"], by="f1")
@@ -77,7 +92,7 @@ def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retrain_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tuned retrain iterations and the running best."""
-    rows = stage(market_position_single(spark, sf_dir), "market_rows")
+    rows = _market_rows(spark, sf_dir)
     hist = retrain_until(rows, "above_market", MARKET_FEATURES, max_iter=2, families=["LogisticRegression", "RandomForest"],
                          tune_points=2)
     return R.running_best(hist, "iteration", ["f1", "roc_auc"])
