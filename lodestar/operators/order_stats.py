@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import default_partitions, stage
+from lodestar.session import stage
 
 PID = "_pid"
 LOCAL = "_local"
@@ -46,11 +46,13 @@ def with_global_rank(
 
     Ties get distinct consecutive ranks in unspecified order; callers that
     need a deterministic order include a unique tie-breaker."""
-    spark = df.sparkSession
-    n_parts = partitions or default_partitions(spark)
     order = _as_cols(order_by)
+    # Without a fixed count AQE may merge adjacent small range partitions;
+    # merged ranges stay contiguous and in order, so the arithmetic below
+    # holds, and partition sizes follow the data.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     numbered = (
-        df.repartitionByRange(n_parts, *order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn(PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition id << 33) + row index
@@ -196,11 +198,9 @@ def running_sums(
 
     Per range partition: a window over that partition's rows; across
     partitions: prefix offsets from one row per partition."""
-    spark = df.sparkSession
-    n_parts = default_partitions(spark)
     order = _as_cols(order_by)
     numbered = (
-        df.repartitionByRange(n_parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(PID, F.spark_partition_id())
         .withColumn(

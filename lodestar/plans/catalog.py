@@ -100,7 +100,7 @@ agg AS (
   SELECT o_custkey AS customer_id, avg(n_lines) AS avg_calls, avg(qty) AS avg_views, avg(disc) AS avg_discount,
          avg(o_totalprice) AS avg_revenue, CAST(coalesce(sum(n_lines), 0) AS BIGINT) AS total_deals,
          count(o_orderkey) AS months_active, max(o_orderstatus = 'F') AS churned_b
-  FROM monthly GROUP BY o_custkey
+  FROM monthly WHERE o_custkey IS NOT NULL GROUP BY o_custkey
 ),
 df AS (SELECT a.*, c.c_mktsegment, c.c_nationkey, c.c_acctbal FROM agg a LEFT JOIN customer c ON a.customer_id = c.c_custkey)
 SELECT customer_id,

@@ -162,7 +162,8 @@ def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _t(spark, sf_dir, "orders")
     monthly = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-    agg = monthly.groupBy(F.col("o_custkey").alias("customer_id")).agg(
+    # pandas groupby drops null keys
+    agg = monthly.where(F.col("o_custkey").isNotNull()).groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.avg("n_lines").alias("avg_calls"),
         F.avg("qty").alias("avg_views"),
         F.avg("disc").alias("avg_discount"),

@@ -71,3 +71,21 @@ def test_exact_sample_with_key_is_narrow_and_exact(spark):
     rows = s.collect()
     assert len(rows) == 250 and all(r.payload == 2 * r.id for r in rows)
     assert OS.exact_sample(df, 10_000, key_cols=["id"]).count() == 3000
+
+
+def test_ranks_exact_when_aqe_merges_range_partitions(spark):
+    old_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4096")
+    try:
+        pdf, df = _frame(spark, n=20000, seed=4)
+        ranked = OS.with_global_rank(df.where(F.col("v").isNotNull()), ["g", "v"]).toPandas()
+        assert sorted(ranked["_rank"]) == list(range(len(ranked)))
+        by_rank = ranked.sort_values("_rank")
+        assert list(by_rank["g"]) == sorted(by_rank["g"])
+        got = OS.group_quantiles(df, ["g"], "v").toPandas().set_index("g")["quantile"].sort_index()
+        assert np.allclose(got.to_numpy(), pdf.groupby("g")["v"].median().sort_index().to_numpy())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old_parts)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
