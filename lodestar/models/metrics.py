@@ -128,7 +128,7 @@ def roc_points(pred: DataFrame, label: str, score: str, by: Sequence[str] = ())
     fpr/tpr of ``score >= threshold``."""
     hist = score_histogram(pred, label, score, by)
     cum = _cumulate(hist, list(by), [F.col("score").desc()], ["pos", "neg"], "cum_", inclusive=True)
-    totals = hist.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
+    totals = cum.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))  # from the staged histogram
     # per group: one totals row per group joined on the key; overall: a scalar row
     joined = cum.join(totals, list(by)) if by else attach_row(cum, totals)
     return joined.select(

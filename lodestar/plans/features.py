@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from lodestar.functions import exprs as X
 from lodestar.operators.encode import encode
 from lodestar.operators.group_stats import group_stat_flag, median_flag
-from lodestar.operators.encode import apply_labels, fit_labels
 from lodestar.operators.order_stats import exact_sample, group_quantiles
 from lodestar.operators.scale import impute_median
 from lodestar.session import stage

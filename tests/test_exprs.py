@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from lodestar.functions import exprs as X
 
 
