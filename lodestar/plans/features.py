@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import exprs as X
-from lodestar.operators.encode import encode
+from lodestar.operators.encode import apply_labels, encode, fit_labels
 from lodestar.operators.group_stats import group_stat_flag, median_flag
 from lodestar.operators.order_stats import exact_sample, group_quantiles
 from lodestar.operators.scale import impute_median
@@ -94,7 +94,11 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = combined.join(state_med, "state", "left").withColumn(
         "above_market", X.threshold_flag("price", F.col("state_median"), ">")
     )
-    encoded, _ = encode(flagged, {"area_type": "area_enc", "state": "state_enc"}, fill={"area_type": "suburban", "state": "Unknown"})
+    # labels do not depend on the flag: fit the dictionary on the union (cheap
+    # upstream) and apply it to the flagged rows
+    fill = {"area_type": "suburban", "state": "Unknown"}
+    dictionary = fit_labels(combined, ["area_type", "state"], fill)
+    encoded = apply_labels(flagged, dictionary, {"area_type": "area_enc", "state": "state_enc"}, fill)
     return encoded.select(
         "name", "country_flag", "state", "price", F.round("lot", 6).alias("lot"), "area_type",
         F.round("state_median", 4).alias("state_median"), "above_market", "area_enc", "state_enc",
