@@ -46,8 +46,9 @@ def fit_labels(df: DataFrame, columns: Sequence[str], fill: Mapping[str, str] |
         w = Window.partitionBy("column").orderBy("label")
         return distinct.select("column", "label", (F.row_number().over(w) - 1).cast("int").alias("code"))
     ranked = with_global_rank(distinct, ["column", "label"])
+    # one row per encoded column (``sizes`` above): broadcast
     first = ranked.groupBy("column").agg(F.min(RANK).alias("_first"))
-    return ranked.join(first, "column").select(
+    return ranked.join(F.broadcast(first), "column").select(
         "column", "label", (F.col(RANK) - F.col("_first")).cast("int").alias("code")
     )
 

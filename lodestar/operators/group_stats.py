@@ -2,8 +2,8 @@
 
 ``price > median(price) within state`` is computed as an exact grouped
 median (skew-safe, see order_stats) joined back on the group key.  The
-median table has one row per group; AQE broadcasts it when its measured size
-is under the threshold and falls back to a shuffle join otherwise.
+median table has one row per group; it is staged and broadcast when a count
+shows at most ``BROADCAST_ROWS_MAX`` groups, else joined by a shuffle join.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.exprs import threshold_flag
 from lodestar.operators.order_stats import attach_row, global_quantile_col, group_quantiles
+from lodestar.session import stage_bounded
 
 
 def group_stat_flag(
@@ -30,7 +31,7 @@ def group_stat_flag(
     (0/1; null value or null group -> 0, like pandas)."""
     keys = list(keys)
     stat_col = stat_col or f"{value}_group_median"
-    med = group_quantiles(df, keys, value, q=q, out=stat_col)
+    med = stage_bounded(group_quantiles(df, keys, value, q=q, out=stat_col), "group_stat")
     joined = df.join(med, keys, "left")
     return joined.withColumn(out, threshold_flag(value, F.col(stat_col), op))
 

@@ -17,7 +17,7 @@ from lodestar.operators.encode import apply_labels, encode, fit_labels
 from lodestar.operators.group_stats import group_stat_flag, median_flag
 from lodestar.operators.order_stats import exact_sample, group_quantiles
 from lodestar.operators.scale import impute_median
-from lodestar.session import stage
+from lodestar.session import stage, stage_bounded
 from lodestar.sources.io import read_table
 
 # Fixed values that must match the reference: video category id -> name
@@ -87,7 +87,8 @@ def market_position(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(second.select(F.lit("price").alias("_stat"), "state", F.col("price").alias("_x")))
         .withColumn("state", F.coalesce("state", F.lit("")))
     )
-    meds = group_quantiles(stat_rows, ["_stat", "state"], "_x", out="_m")  # one row per state, plus lot
+    # one row per state, plus lot: staged once, broadcast behind a row count
+    meds = stage_bounded(group_quantiles(stat_rows, ["_stat", "state"], "_x", out="_m"), "state_medians")
     lot_value = meds.where(F.col("_stat") == "lot").select("_m").scalar()
     state_med = meds.where(F.col("_stat") == "price").select("state", F.col("_m").alias("state_median"))
     combined = first.select(*key_cols, "lot").unionByName(second.select(*key_cols).withColumn("lot", lot_value))

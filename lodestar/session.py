@@ -102,6 +102,21 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+# A derived side (group statistics) is broadcast only when a count of its
+# staged rows proves it small; beyond the bound the join stays a shuffle join.
+BROADCAST_ROWS_MAX = 1_000_000
+
+
+def stage_bounded(df: DataFrame, tag: str = "small", max_rows: int = BROADCAST_ROWS_MAX) -> DataFrame:
+    """Stage ``df`` and mark it for broadcast if it has at most ``max_rows``
+    rows.  The hint spares the large side the shuffle that a size-based
+    switch by AQE would only decide after that shuffle has been written."""
+    from pyspark.sql import functions as F
+
+    staged = stage(df, tag)
+    return F.broadcast(staged) if staged.count() <= max_rows else staged
+
+
 def default_partitions(spark: SparkSession) -> int:
     return max(
         int(spark.conf.get("spark.sql.shuffle.partitions", "8")),
