@@ -89,3 +89,27 @@ def test_ranks_exact_when_aqe_merges_range_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old_parts)
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
+
+
+def test_group_stat_flag_broadcasts_counted_medians(spark):
+    from lodestar.operators.group_stats import group_stat_flag
+
+    pdf, df = _frame(spark)
+    out = group_stat_flag(df, ["g"], "v", out="above", stat_col="med")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = out.toPandas()
+    med = pdf.groupby("g")["v"].median()
+    exp = (pdf["v"] > pdf["g"].map(med)).astype(int)
+    assert sorted(zip(got["v"].fillna(-1), got["above"])) == sorted(zip(pdf["v"].fillna(-1), exp))
+
+
+def test_stage_bounded_hint_only_under_the_bound(spark):
+    from lodestar.session import stage_bounded
+
+    df = spark.range(10)
+    small = stage_bounded(df, "t", max_rows=10)
+    big = stage_bounded(df, "t", max_rows=9)
+    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+    assert sorted(r.id for r in big.collect()) == list(range(10))
