@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,36 +45,44 @@ def prefix_sum(df: DataFrame, within: Sequence[str], order: str, value: str, out
     return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
+def let(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with the column ``name``, computed once per row.  A generator is
+    a barrier: the optimiser neither copies the expression into each use nor
+    moves a filter on it below."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_starts(gaps: Column, lengths: Column, block: int = 256) -> Column:
     """Start of match i in the text: all gaps up to i plus all earlier matches.
 
     ``gaps[i]`` is the length of the text before match i (after match i-1).
     Done in blocks so a text with very many matches stays near linear."""
-    n = F.size(lengths)
-    n_blocks = F.ceil(n / F.lit(block)).cast("int")
 
-    def steps(acc: Column, pair: Column) -> Column:
+    def step(acc: Column, pair: Column) -> Column:
         return F.struct(
             (acc["end"] + pair["gap"] + pair["len"]).alias("end"),
             F.concat(acc["starts"], F.array(acc["end"] + pair["gap"])).alias("starts"),
         )
 
-    pairs = F.zip_with(F.slice(gaps, 1, n), lengths, lambda g, m: F.struct(g.alias("gap"), m.alias("len")))
+    def starts(pairs: Column) -> Column:
+        def one_block(acc: Column, i: Column) -> Column:
+            first = F.struct(acc["end"].alias("end"), F.expr("cast(array() as array<int>)").alias("starts"))
+            return bind(
+                F.aggregate(F.slice(pairs, i * block + 1, F.lit(block)), first, step),
+                lambda inner: F.struct(inner["end"].alias("end"), F.concat(acc["all"], F.array(inner["starts"])).alias("all")),
+            )
 
-    def one_block(acc: Column, i: Column) -> Column:
-        inner = F.aggregate(
-            F.slice(pairs, i * block + 1, F.lit(block)),
-            F.struct(acc["end"].alias("end"), F.expr("cast(array() as array<int>)").alias("starts")),
-            steps,
-        )
-        return F.struct(inner["end"].alias("end"), F.concat(acc["all"], F.array(inner["starts"])).alias("all"))
-
-    nested = F.aggregate(
-        F.filter(F.sequence(F.lit(0), F.greatest(n_blocks, F.lit(1)) - 1), lambda i: i < n_blocks),
-        F.struct(F.lit(0).alias("end"), F.expr("cast(array() as array<array<int>>)").alias("all")),
-        one_block,
-    )["all"]
-    return F.flatten(nested)
+        last = F.floor(F.greatest(F.size(pairs) - 1, F.lit(0)) / block).cast("int")
+        none = F.struct(F.lit(0).alias("end"), F.expr("cast(array() as array<array<int>>)").alias("all"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), last), none, one_block)["all"])
+
+    pair = lambda g, m: F.struct(g.alias("gap"), m.alias("len"))
+    return bind(bind(lengths, lambda n: F.zip_with(F.slice(gaps, 1, F.size(n)), n, pair)), starts)
 
 
 def _c(c: str | Column) -> Column:

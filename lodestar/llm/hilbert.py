@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import utf8_bytes
+from lodestar.llm.common import prefix_sum, utf8_bytes
 from lodestar.session import stage
 
 
@@ -133,14 +133,9 @@ def assign_shards(
     )
     ranked = stage(ranked, "hilbert_order")
     # one row per range partition: bounded by the partition setting
-    counts = sorted(
-        (r["p"], r["n"]) for r in ranked.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count("*").alias("n")).collect()
-    )
-    starts, total = [], 0
-    for p, n in counts:
-        starts.append((p, total))
-        total += n
-    offsets = spark.createDataFrame(starts, "p long, before long")
+    counts = stage(ranked.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count("*").alias("n")), "hilbert_counts")
+    offsets = prefix_sum(counts, [], "p", "n", "before").select("p", "before")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     cuts = [total * i // n_shards for i in range(n_shards)]
     shard, first = F.lit(0), F.lit(cuts[0])
     for i in range(1, n_shards):

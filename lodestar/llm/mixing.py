@@ -30,7 +30,7 @@ from lodestar.session import stage
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_EPOCHS = 2
-SLICE_ROWS = 20_000
+SLICE_ROWS = 5_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_epochs: int) -> DataFrame:
