@@ -9,10 +9,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm.mixing import mix_documents
+from lodestar.llm.neardup import deduplicate
 from lodestar.llm.packing import pack_documents
+from lodestar.llm.pii import redact_documents
+from lodestar.llm.quality import quality_documents
 from lodestar.session import checkpoint_root
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule and the learned decision list keep."""
+    return quality_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near copies."""
+    return deduplicate(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by the name of its kind."""
+    return redact_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources by target weights; a document taken twice is there twice."""
     return mix_documents(docs)
@@ -24,6 +42,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
     ("mix_sources", mix_sources),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lodestar.llm.hilbert import op9_hilbert_shards
 from lodestar.llm.mixing import op7_fair_queue_mix
+from lodestar.llm.neardup import op3_weighted_minhash
 from lodestar.llm.packing import op8_best_fit_pack
 from lodestar.llm.pii import op10_candidate_boosting
 from lodestar.llm.quality import op2_decision_list
@@ -13,6 +14,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_decision_list,
+        op3_weighted_minhash,
         op4_secret_ownership,
         op7_fair_queue_mix,
         op8_best_fit_pack,
