@@ -9,6 +9,7 @@ from lodestar.llm.packing import op8_best_fit_pack
 from lodestar.llm.pii import op10_candidate_boosting
 from lodestar.llm.quality import op2_decision_list
 from lodestar.llm.secrets import op4_secret_ownership
+from lodestar.llm.toxicity import op5_levenshtein_toxicity
 from lodestar.llm.transducer import op6_transducer_counts
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
         op2_decision_list,
         op3_weighted_minhash,
         op4_secret_ownership,
+        op5_levenshtein_toxicity,
         op6_transducer_counts,
         op7_fair_queue_mix,
         op8_best_fit_pack,
