@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lodestar.llm.ann import op1_nn_descent
 from lodestar.llm.hilbert import op9_hilbert_shards
 from lodestar.llm.mixing import op7_fair_queue_mix
 from lodestar.llm.neardup import op3_weighted_minhash
@@ -15,6 +16,7 @@ from lodestar.llm.transducer import op6_transducer_counts
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_nn_descent,
         op2_decision_list,
         op3_weighted_minhash,
         op4_secret_ownership,
