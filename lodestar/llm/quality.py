@@ -214,14 +214,24 @@ def fit_rules(labelled: DataFrame) -> DecisionList:
     return out
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> DecisionList:
-    """The decision list from ``labels`` (doc_id, quality): documents that
-    pass the base rule and carry one distinct quality, 0 (bad) or 1."""
+def bad_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, bad) of the documents with one distinct quality, 0 (bad) or 1."""
     y = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
-    y = y.where("lo = hi").select("doc_id", (F.col("lo") == 0).alias("bad"))
-    d = with_counts(docs.select("doc_id", "text").join(y, "doc_id"))
-    fold = F.pmod(F.crc32(F.col("doc.doc_id").cast("string").cast("binary")), F.lit(3)).cast("int")
-    return fit_rules(d.where(~base_failed()).select("doc.bad", fold.alias("fold"), *[c.alias(s) for s, c in statistics().items()]))
+    return y.where("lo = hi").select("doc_id", (F.col("lo") == 0).alias("bad"))
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> DecisionList:
+    """The decision list from the labelled documents that pass the base rule."""
+    counts = with_counts(docs.select("doc_id", "text")).select(F.col("doc.doc_id").alias("doc_id"), "q")
+    return learn_from_counts(counts, bad_labels(labels))
+
+
+def learn_from_counts(counts: DataFrame, bad: DataFrame) -> DecisionList:
+    """The list from (doc_id, q) and (doc_id, bad): only counts are moved to
+    meet the labels, never texts."""
+    d = counts.where(~base_failed()).join(bad, "doc_id")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)).cast("int")
+    return fit_rules(d.select("bad", fold.alias("fold"), *[c.alias(s) for s, c in statistics().items()]))
 
 
 def quality_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -235,10 +245,10 @@ def op2_decision_list(spark, sf_dir: str) -> DataFrame:
     """Base counts and the verdict on every document, with the number of the
     learned rule that rejects it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    rules = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = with_counts(docs).withColumn("rule", rules.rejects(statistics()))
-    return judged.select(
-        F.col("doc.doc_id").alias("doc_id"),
+    counts = stage(with_counts(docs).select(F.col("doc.doc_id").alias("doc_id"), "q"), "quality_counts")
+    rules = learn_from_counts(counts, bad_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return counts.withColumn("rule", rules.rejects(statistics())).select(
+        "doc_id",
         *[F.col(f"q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         base_failed().alias("base_failed"),
         (~base_failed() & F.col("rule").isNull()).alias("kept"),
