@@ -18,20 +18,27 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def between_exclusive(c, lo, hi) -> Column:
-    """``lo < c < hi``; a null never passes (pandas NaN compares False)."""
+def no_nan(c: str | Column) -> Column:
+    """The value with NaN as null: Spark orders NaN above every number, pandas
+    compares it False.  The text form tells NaN in a column of any type."""
     c = col_(c)
+    return F.when(c.cast("string") != F.lit("NaN"), c)
+
+
+def between_exclusive(c, lo, hi) -> Column:
+    """``lo < c < hi``; null and NaN never pass (pandas NaN compares False)."""
+    c = no_nan(c)
     return F.coalesce((c > F.lit(lo)) & (c < F.lit(hi)), F.lit(False))
 
 
 def between_inclusive(c, lo, hi) -> Column:
     """P5: ``Series.between(lo, hi)``; null never passes."""
-    return F.coalesce(col_(c).between(lo, hi), F.lit(False))
+    return F.coalesce(no_nan(c).between(lo, hi), F.lit(False))
 
 
 def positive(c) -> Column:
-    """``c > 0`` with null -> False."""
-    return F.coalesce(col_(c) > F.lit(0), F.lit(False))
+    """``c > 0`` with null and NaN -> False."""
+    return F.coalesce(no_nan(c) > F.lit(0), F.lit(False))
 
 
 def isin_flag(c, values: Iterable) -> Column:
@@ -40,9 +47,9 @@ def isin_flag(c, values: Iterable) -> Column:
 
 
 def threshold_flag(c, threshold, op: str = ">=") -> Column:
-    """Comparison -> 0/1; a null comparison is 0 like pandas."""
-    c = col_(c)
-    t = threshold if isinstance(threshold, Column) else F.lit(threshold)
+    """Comparison -> 0/1; a null or NaN comparison is 0 like pandas."""
+    c = no_nan(c)
+    t = no_nan(threshold) if isinstance(threshold, Column) else F.lit(threshold)
     cmp = {">=": c >= t, ">": c > t, "<=": c <= t, "<": c < t}[op]
     return F.coalesce(cmp, F.lit(False)).cast("int")
 
@@ -50,7 +57,7 @@ def threshold_flag(c, threshold, op: str = ">=") -> Column:
 def clip(c, lo, hi) -> Column:
     """P10: pandas ``clip`` keeps nulls; ``greatest``/``least`` would skip
     them, so the null case is explicit."""
-    c = col_(c)
+    c = no_nan(c)
     return F.when(c.isNull(), F.lit(None)).otherwise(F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
@@ -132,25 +139,32 @@ def weekday_or(c, default: int = 0) -> Column:
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
-    """Strip every string column."""
+    """Strip every string column, of any white space like ``str.strip``."""
     return df.select(
         *[
-            F.trim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            stripped(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
 
 
+def stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"^[\s\u00a0\u0085\x1c-\x1f]+|[\s\u00a0\u0085\x1c-\x1f]+$", "")
+
+
 def to_number(c) -> Column:
-    """P20: ``to_numeric(errors="coerce")``: bad text -> null."""
-    return F.trim(col_(c).cast("string")).try_cast("double")
+    """P20: ``to_numeric(errors="coerce")``: bad text and ``nan`` -> null."""
+    return no_nan(stripped(col_(c).cast("string")).try_cast("double"))
 
 
 def boolish(c, unknown_as_zero: bool = False) -> Column:
     """True/"True" -> 1, False/"False" -> 0; anything else -> null
     (targets) or 0 (features, ``.fillna(0)``)."""
-    s = F.lower(F.trim(col_(c).cast("string")))
-    out = F.when(s == F.lit("true"), F.lit(1)).when(s == F.lit("false"), F.lit(0))
+    c = col_(c)
+    s = c.cast("string")  # a boolean column reads true / false here
+    yes, no = ("True", "true"), ("False", "false")
+    spelled = F.typeof(c) == F.lit("string")
+    out = F.when((s == yes[0]) | (~spelled & (s == yes[1])), F.lit(1)).when((s == no[0]) | (~spelled & (s == no[1])), F.lit(0))
     return (out.otherwise(F.lit(0)) if unknown_as_zero else out).cast("int")
 
 
@@ -162,9 +176,9 @@ def fill_default(c, default) -> Column:
 def lookup(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_val: str, out: str, fallback_fmt: str) -> DataFrame:
     """Code -> label through a dimension table, with a formatted
     fallback (``Category {code}``) for unknown codes.  The dimension is a
-    fixed-size dictionary, so it is broadcast."""
+    dictionary: it is broadcast when the optimiser measures it small."""
     d = dim.select(F.col(dim_key).alias("_lk"), F.col(dim_val).alias("_lv"))
-    joined = df.join(F.broadcast(d), df[key] == d["_lk"], "left")
+    joined = df.join(d, df[key] == d["_lk"], "left")
     fb = F.format_string(fallback_fmt, F.col(key))
     return joined.withColumn(out, F.coalesce(F.col("_lv"), fb)).drop("_lk", "_lv")
 

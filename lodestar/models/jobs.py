@@ -17,6 +17,7 @@ from lodestar.models.score import batch_score, load_bundle, make_bundle, save_bu
 from lodestar.operators import rank as R
 from lodestar.operators.neighbors import smote
 from lodestar.operators.select import rf_importance
+from lodestar.plans.catalog import ORACLE_SQL
 from lodestar.plans.features import churn_features, market_position_single
 from lodestar.session import checkpoint_root, stage
 
@@ -80,7 +81,7 @@ def panel_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random-forest importances on the churn table."""
-    return rf_importance(_churn(spark, sf_dir), "churned", CHURN_FEATURES, trees=50)
+    return rf_importance(_churn(spark, sf_dir), "churned", CHURN_FEATURES, trees=100)
 
 
 def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +94,9 @@ def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retrain_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two retrain iterations and the running best.  The second
-    iteration tunes logistic regression over its whole first grid (3-fold
-    CV F1); the random forest keeps the fast profile: one fold fit of the
+    iteration tunes logistic regression over its whole second grid (3-fold
+    CV F1; the reference tunes from iteration 2 on, with the grid of that
+    iteration); the random forest keeps the fast profile: one fold fit of the
     reference's first forest grid point (200 trees, unbounded depth) runs
     for many minutes in Spark even at sf0.01."""
     rows = _market_rows(spark, sf_dir)
@@ -189,3 +191,12 @@ MODEL_QUERIES = {
     "bundle_importances": bundle_importances,
     "stream_scores": stream_scores,
 }
+
+# Class sizes after oversampling have an exact form: every class reaches the
+# size of the largest one.
+MODEL_ORACLE_SQL = {
+    "smote_balance": f"""
+WITH churn AS ({ORACLE_SQL['churn_features']}),
+sizes AS (SELECT churned, count(*) AS had FROM churn GROUP BY churned)
+SELECT churned, (SELECT max(had) FROM sizes) AS n, (SELECT max(had) FROM sizes) - had AS n_synthetic FROM sizes""",
+}

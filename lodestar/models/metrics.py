@@ -13,42 +13,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from lodestar.operators.order_stats import attach_row, running_sums
 from lodestar.session import stage
 
-# Histograms (one row per distinct score and group) up to this size are
-# accumulated with one window per group; larger ones with the distributed
-# range-partitioned cumulative sum.
-WINDOW_HIST_MAX = 1_000_000
-
 
 def _cumulate(hist: DataFrame, by, order, cols, prefix: str, inclusive: bool) -> DataFrame:
-    """Cumulative sums of ``cols`` along ``order`` inside each ``by`` group.
-    The histogram is staged and its size checked before choosing the plan."""
-    hist = stage(hist, "score_hist")
-    n = hist.count()
-    if n <= WINDOW_HIST_MAX:
-        w = (Window.partitionBy(*by) if by else Window).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, 0 if inclusive else -1
-        )
-        out = hist
-        for c in cols:
-            out = out.withColumn(prefix + c, F.coalesce(F.sum(c).over(w), F.lit(0)))
-        return out
-    cum = running_sums(hist, [*by, *order], cols, prefix=prefix, inclusive=inclusive)
-    if by:
-        # the distributed sum runs over the whole order: subtract each group's start
-        starts = cum.groupBy(*by).agg(
-            *[F.min(F.col(prefix + c) - (F.col(c) if inclusive else F.lit(0))).alias(f"_s_{c}") for c in cols]
-        )
-        cum = cum.join(starts, list(by))
-        for c in cols:
-            cum = cum.withColumn(prefix + c, F.col(prefix + c) - F.col(f"_s_{c}")).drop(f"_s_{c}")
+    """Cumulative sums of ``cols`` along ``order`` inside each ``by`` group:
+    the distributed running sum over (group, order), less each group's start.
+    A null group is a group like any other."""
+    cum = stage(running_sums(hist, [*by, *order], cols, prefix=prefix, inclusive=inclusive), "score_cum")
+    if not by:
+        return cum
+    starts = cum.groupBy(*by).agg(
+        *[F.min(F.col(prefix + c) - (F.col(c) if inclusive else F.lit(0))).alias(f"_s_{c}") for c in cols]
+    )
+    cum = null_safe_join(cum, starts, by)
+    for c in cols:
+        cum = cum.withColumn(prefix + c, F.col(prefix + c) - F.col(f"_s_{c}")).drop(f"_s_{c}")
     return cum
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def _safe_div(num, den):
     return F.when(den == F.lit(0), F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
 
@@ -130,7 +121,7 @@ def roc_points(pred: DataFrame, label: str, score: str, by: Sequence[str] = ())
     cum = _cumulate(hist, list(by), [F.col("score").desc()], ["pos", "neg"], "cum_", inclusive=True)
     totals = cum.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))  # from the staged histogram
     # per group: one totals row per group joined on the key; overall: a scalar row
-    joined = cum.join(totals, list(by)) if by else attach_row(cum, totals)
+    joined = null_safe_join(cum, totals, by) if by else attach_row(cum, totals)
     return joined.select(
         *by,
         F.col("score").alias("threshold"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.exprs import trim_strings
 from lodestar.operators.encode import apply_labels, fit_labels
 from lodestar.operators.order_stats import attach_row, column_medians_dict, global_quantile_col
-from lodestar.operators.profile import distinct_counts, modes, non_null_counts, numeric_columns, string_columns, stddevs
+from lodestar.operators.profile import _known, distinct_counts, modes, non_null_counts, numeric_columns, string_columns, stddevs
 from lodestar.session import stage
 from lodestar.sources.io import model_safe_name, table_registry
 
@@ -43,7 +43,7 @@ def clean_table(df: DataFrame, min_non_null: float = MIN_NON_NULL_SHARE) -> Data
     thresh = int(n_rows * min_non_null)
     keep = [c for c in df.columns if counts[c][1] >= thresh]
     # de-duplicated rows feed three statistics and the output: stage once
-    dedup = stage(df.select(*keep).dropDuplicates(), "dedup")
+    dedup = stage(df.select(*[F.col(f"`{c}`") for c in keep]).dropDuplicates(), "dedup")
     nums = numeric_columns(dedup)
     strs = string_columns(dedup)
     fills: dict[str, object] = {}
@@ -61,12 +61,12 @@ def clean_table(df: DataFrame, min_non_null: float = MIN_NON_NULL_SHARE) -> Data
         fills.update({c: got.get(c, UNKNOWN_MODE) for c in str_holes})
     filled = dedup
     for c, v in fills.items():
-        filled = filled.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(dedup.schema[c].dataType)))
+        filled = filled.withColumn(c, F.coalesce(_known(dedup, c), F.lit(v).cast(dedup.schema[c].dataType)))
     drop = []
     if nums:
         stds = {r["column"]: r["std"] for r in stddevs(filled, nums).collect()}
         drop = [c for c in nums if stds.get(c) is not None and stds[c] == 0.0]
-    out = filled.drop(*drop)
+    out = filled.select(*[F.col(f"`{c}`") for c in filled.columns if c not in drop])
     return out.toDF(*[model_safe_name(c) for c in out.columns])
 
 

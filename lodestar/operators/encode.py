@@ -13,15 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from lodestar.operators.order_stats import RANK, with_global_rank
 from lodestar.session import stage
 
-# Above this many distinct labels in one column, codes come from the
-# distributed rank instead of one window task per column.
-WINDOW_LABELS_MAX = 2_000_000
-
 
 def _prepared(c: str, fill: Mapping[str, str] | None) -> F.Column:
     v = F.col(c).cast("string")
@@ -40,13 +34,8 @@ def fit_labels(df: DataFrame, columns: Sequence[str], fill: Mapping[str, str] |
         ).alias("_kv")
     ).select("_kv.column", "_kv.label")
     distinct = stage(long.where(F.col("label").isNotNull()).distinct(), "labels")
-    sizes = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per column
-    if all(r["n"] <= WINDOW_LABELS_MAX for r in sizes):
-        # checked size: each column's dictionary is sorted inside one task
-        w = Window.partitionBy("column").orderBy("label")
-        return distinct.select("column", "label", (F.row_number().over(w) - 1).cast("int").alias("code"))
     ranked = with_global_rank(distinct, ["column", "label"])
-    # one row per encoded column (``sizes`` above): broadcast
+    # one row per encoded column: as many as the caller names
     first = ranked.groupBy("column").agg(F.min(RANK).alias("_first"))
     return ranked.join(F.broadcast(first), "column").select(
         "column", "label", (F.col(RANK) - F.col("_first")).cast("int").alias("code")

@@ -7,7 +7,8 @@ rows.  The primitive here gives every row its 0-based position in a total
 order using a range-partitioned sort:
 
 1. ``repartitionByRange`` samples the order key, so a hot group is spread
-   over many balanced partitions;
+   over many balanced partitions (rows that are equal in the whole key stay
+   together: callers add a tie-breaker, or reduce equal rows to counts);
 2. inside each partition rows are sorted and numbered;
 3. the partition sizes (one row per partition, a bound set by configuration)
    give prefix offsets, broadcast back to turn local numbers into global ranks.
@@ -15,7 +16,7 @@ order using a range-partitioned sort:
 The numbered rows are staged under the checkpoint folder so that the counting
 pass and the numbering pass see identical partitions, and so that lineage is
 cut.  Quantiles, label codes, exact samples, stratified splits and cumulative
-sums are all derived from these ranks with joins on unique rank values.
+sums are all derived from these ranks or running counts.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import stage
+from lodestar.session import stage, stage_bounded
 
 PID = "_pid"
 LOCAL = "_local"
 RANK = "_rank"
+TOP_N_MAX = 10_000
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -86,45 +88,31 @@ def group_quantiles(
     (pandas ``quantile``/``median``, DuckDB ``quantile_cont``).
 
     Nulls and NaN are skipped; null keys are dropped like pandas ``groupby``.
-    Returns one row per non-empty group: ``keys + [out]`` (+ ``n``)."""
+    Returns one row per non-empty group: ``keys + [out]`` (+ ``n``).
+
+    Rows are first reduced to (group, value, count), so a value that many rows
+    share is one row (combined in the map tasks); running counts along
+    (group, value) then say which value holds the wanted positions.  Only the
+    distinct values are sorted, and nothing is joined on a rank."""
     keys = list(keys)
     v = F.col(value).cast("double")
     src = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     for k in keys:
         src = src.where(F.col(k).isNotNull())
-    ranked = with_global_rank(src, [*keys, "_v"])
-    # Per group: first global rank and size (partial aggregation, no collection).
-    bounds = ranked.groupBy(*keys).agg(F.min(RANK).alias("_start"), F.count(F.lit(1)).alias("_n"))
+    hist = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = stage(running_sums(hist, [*keys, "_v"], ["_c"], prefix="_upto"), "quantile_cum")
+    # counts of all earlier groups are taken off by the group's first total
+    bounds = cum.groupBy(*keys).agg(F.min(F.col("_upto_c") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"))
     h = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-    lo = F.floor(h).cast("long")
-    hi = F.ceil(h).cast("long")
     targets = bounds.select(
-        *keys,
-        F.col("_n"),
-        (h - F.floor(h)).alias("_frac"),
-        (F.col("_start") + lo).alias("_r_lo"),
-        (F.col("_start") + hi).alias("_r_hi"),
-    )
-    # Explode to the (at most two) needed ranks and join on the unique rank:
-    # the join key is evenly spread, so a hot group does not land in one task.
-    wanted = targets.select(
-        *keys,
-        "_n",
-        "_frac",
-        F.explode(F.array_distinct(F.array("_r_lo", "_r_hi"))).alias(RANK),
-        "_r_lo",
-    )
-    picks = ranked.select(RANK, "_v").join(wanted, RANK)
-    agg = picks.groupBy(*keys).agg(
-        F.max(F.when(F.col(RANK) == F.col("_r_lo"), F.col("_v"))).alias("_v_lo"),
-        F.max("_v").alias("_v_any_hi"),
-        F.first("_frac").alias("_frac"),
-        F.first("_n").alias("_n"),
+        *keys, "_n", (h - F.floor(h)).alias("_frac"),
+        (F.col("_start") + F.floor(h).cast("long")).alias("_r_lo"), (F.col("_start") + F.ceil(h).cast("long")).alias("_r_hi"),
     )
-    res = agg.select(
-        *keys,
-        (F.col("_v_lo") + F.col("_frac") * (F.col("_v_any_hi") - F.col("_v_lo"))).alias(out),
-        F.col("_n").alias("n"),
+    holds = lambda r: (F.col("_upto_c") - F.col("_c") <= F.col(r)) & (F.col(r) < F.col("_upto_c"))
+    picks = cum.join(stage_bounded(targets, "quantile_targets"), keys).where(holds("_r_lo") | holds("_r_hi"))
+    # at most two rows per group
+    res = picks.groupBy(*keys).agg(
+        (F.min("_v") + F.first("_frac") * (F.max("_v") - F.min("_v"))).alias(out), F.first("_n").alias("n")
     )
     return res if with_count else res.drop("n")
 
@@ -141,7 +129,7 @@ def column_quantiles(
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                    F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
                     for c in columns
                 ]
             )
@@ -168,12 +156,18 @@ def exact_sample(
 ) -> DataFrame:
     """Exactly ``min(n, count)`` rows, chosen by a seeded hash order.
 
-    Deterministic for a fixed seed and key; no task holds the sample: rows are
+    Deterministic for a fixed seed and key.  Up to ``TOP_N_MAX`` rows are a
+    plain top-n in hash order.  Beyond, no task holds the sample: rows are
     ranked by ``xxhash64(key, seed)`` with the distributed rank and filtered.
     With a unique ``key_cols`` only the narrow (hash, key) table is ranked and
     the chosen keys (at most ``n``: the sample size bounds that side) are
     semi-joined back; without one, whole rows are ranked (duplicates stay
     distinct rows)."""
+    if n <= TOP_N_MAX:
+        # each partition offers its first n rows in hash order
+        cols = list(key_cols or df.columns)
+        h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+        return df.orderBy(h, *[F.col(c) for c in cols]).limit(n)
     if not key_cols:
         keys = df.columns
         h = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))

@@ -32,7 +32,7 @@ def _long(df: DataFrame, columns: Sequence[str], as_string: bool = True) -> Data
     cast = "string" if as_string else "double"
 
     def value(c: str):
-        v = F.col(c)
+        v = F.col(f"`{c}`")
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
             v = F.when(v == F.lit(0.0), F.lit(0.0)).otherwise(v)  # -0.0 and 0.0 are one value
         return v.cast(cast)
@@ -44,12 +44,20 @@ def _long(df: DataFrame, columns: Sequence[str], as_string: bool = True) -> Data
 
 def non_null_counts(df: DataFrame) -> DataFrame:
     """(column, n_rows, non_null) for all columns in one pass."""
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count(F.col(c)).alias(c) for c in df.columns]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', `{c}`" for c in df.columns)
-    return wide.selectExpr("__n as n_rows", f"stack({len(df.columns)}, {stack}) as (column, non_null)").select(
-        "column", "n_rows", "non_null"
-    )
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"), _rows_of("non_null", [(c, F.count(_known(df, c))) for c in df.columns]))
+    return wide.select("n_rows", F.explode("r").alias("r")).select("r.column", "n_rows", "r.non_null")
+
+
+def _known(df: DataFrame, c: str):
+    """The column with NaN as null (pandas has one missing marker)."""
+    v = F.col(f"`{c}`")
+    return F.nanvl(v, F.lit(None).cast(df.schema[c].dataType)) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else v
+
+
+def _rows_of(value: str, pairs) -> F.Column:
+    """One (column, value) struct per pair, as an array: names are data here,
+    so quotes and dots in them need no escaping."""
+    return F.array(*[F.struct(F.lit(c).alias("column"), v.alias(value)) for c, v in pairs]).alias("r")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -82,9 +90,8 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def stddevs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample standard deviation per column (null for < 2 values)."""
     columns = list(columns)
-    wide = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return wide.selectExpr(f"stack({len(columns)}, {stack}) as (column, std)")
+    wide = df.agg(_rows_of("std", [(c, F.stddev_samp(_known(df, c).cast("double"))) for c in columns]))
+    return wide.select(F.explode("r").alias("r")).select("r.column", "r.std")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -139,9 +146,9 @@ def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = 2) ->
     (a, b, r).  ``corr`` is an algebraic aggregate: one pass, all pairs."""
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    out = wide.selectExpr(f"stack({len(pairs)}, {stack}) as (a, b, r)")
+    corr = lambda a, b: F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double"))
+    wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr(a, b).alias("r")) for a, b in pairs]).alias("p"))
+    out = wide.select(F.explode("p").alias("p")).select("p.a", "p.b", "p.r")
     if digits is not None:
         out = out.withColumn("r", F.round("r", digits))
     return out

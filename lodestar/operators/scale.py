@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators.profile import _known
 from lodestar.operators.order_stats import attach_row, column_medians_dict
 
 
@@ -40,12 +41,12 @@ def min_max(
 
 
 def null_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns of ``columns`` holding at least one null (one aggregate pass)."""
+    """Columns of ``columns`` holding at least one null or NaN (one aggregate pass)."""
     columns = list(columns)
     if not columns:
         return []
-    row = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+    row = df.agg(*[F.count(_known(df, c)).alias(str(i)) for i, c in enumerate(columns)], F.count(F.lit(1)).alias("n")).first()
+    return [c for i, c in enumerate(columns) if row[str(i)] < row["n"]]
 
 
 def impute_median(
@@ -64,7 +65,7 @@ def impute_median(
     out = df
     for c in columns:
         if med[c] is not None:
-            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(float(med[c]))))
+            out = out.withColumn(c, F.coalesce(_known(df, c).cast("double"), F.lit(float(med[c]))))
         else:
             out = out.withColumn(c, F.col(c).cast("double"))
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import exprs as X
 from lodestar.operators.encode import apply_labels, encode, fit_labels
 from lodestar.operators.group_stats import group_stat_flag, median_flag
-from lodestar.operators.order_stats import exact_sample, group_quantiles
+from lodestar.operators.order_stats import group_quantiles
 from lodestar.operators.scale import impute_median
 from lodestar.session import stage, stage_bounded
 from lodestar.sources.io import read_table
@@ -32,8 +32,6 @@ CATEGORY_NAMES = {
 }
 CATEGORY_FALLBACK = "Category %s"
 
-SAMPLE_ROWS = 200_000
-
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
@@ -123,11 +121,12 @@ def market_position_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def market_position_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one source; filter, clip, drop nulls, state median on all rows,
-    then an exact seeded sample of at most 200k rows and encoding."""
+    and encoding of every row.  (A sample belongs to a classifier's fit:
+    ``exact_sample`` on this table.)"""
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    listings = (
+    listings = stage(
         orders.where(X.between_exclusive("o_totalprice", 10000, 450000))
         .join(cust, orders.o_custkey == cust.c_custkey, "left")
         .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
@@ -138,11 +137,11 @@ def market_position_single(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderpriority",
             X.clip(F.col("o_totalprice") / F.lit(100000.0), 0.0, 4.0).alias("lot"),
         )
-        .na.drop(subset=["price", "state"])
+        .na.drop(subset=["price", "state"]),
+        "listings",  # narrow; read by the median, the dictionary and the output
     )
     flagged = group_stat_flag(listings, ["state"], "price", out="above_market", stat_col="state_median")
-    sample = exact_sample(flagged, SAMPLE_ROWS, seed=42, key_cols=["o_orderkey"])
-    encoded, _ = encode(sample, {"state": "state_enc", "o_orderpriority": "priority_enc"}, fill={"state": "Unknown"})
+    encoded, _ = encode(flagged, {"state": "state_enc", "o_orderpriority": "priority_enc"}, fill={"state": "Unknown"})
     return encoded.select(
         "o_orderkey", "state", "price", "lot", "above_market", "state_enc", "priority_enc"
     )
@@ -234,7 +233,7 @@ def listing_sold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.to_number(F.col("p_retailprice")).alias("p_retailprice"),
         X.to_number(F.col("l_quantity")).alias("l_quantity"),
         X.to_number(F.col("l_extendedprice")).alias("l_extendedprice"),
-        X.boolish(F.when(F.col("p_size") > 25, "true").when(F.col("p_size").isNotNull(), "false"), unknown_as_zero=True).alias("big_part"),
+        X.boolish(F.col("p_size") > 25, unknown_as_zero=True).alias("big_part"),
         "p_type",
         "l_returnflag",
     )

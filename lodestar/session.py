@@ -52,9 +52,11 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable SQL options to an existing session."""
+    """Apply the runtime-settable SQL options to an existing session, except
+    those that its own configuration names."""
+    own = spark.sparkContext.getConf()
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and not own.contains(k):
             spark.conf.set(k, v)
     return spark
 
@@ -84,6 +86,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             path = jdir.get()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         wh = spark.conf.get("spark.sql.warehouse.dir")
         path = wh.rstrip("/") + "/_lodestar_checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
@@ -105,27 +109,20 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
 # A derived side (group statistics) is broadcast only when a count of its
 # staged rows proves it small; beyond the bound the join stays a shuffle join.
 BROADCAST_ROWS_MAX = 1_000_000
+BROADCAST_BYTES_MAX = 32 * 1024 * 1024
 
 
 def stage_bounded(df: DataFrame, tag: str = "small", max_rows: int = BROADCAST_ROWS_MAX) -> DataFrame:
     """Stage ``df`` and mark it for broadcast if it has at most ``max_rows``
-    rows.  The hint spares the large side the shuffle that a size-based
+    rows and its files at most ``BROADCAST_BYTES_MAX`` bytes.  The hint spares the large side the shuffle that a size-based
     switch by AQE would only decide after that shuffle has been written."""
     from pyspark.sql import functions as F
 
     staged = stage(df, tag)
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    small = file_bytes(staged) <= BROADCAST_BYTES_MAX and staged.count() <= max_rows
+    return F.broadcast(staged) if small else staged
 
 
-def default_partitions(spark: SparkSession) -> int:
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions", "8")),
-        spark.sparkContext.defaultParallelism,
-    )
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def file_bytes(staged: DataFrame) -> int:
+    """Bytes of the files that a staged table is read from."""
+    return int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

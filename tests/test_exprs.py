@@ -49,9 +49,11 @@ def test_ratio_and_log(spark):
 
 
 def test_boolish_and_coercion(spark):
-    rows = [("True",), ("false",), ("maybe",), (None,)]
-    assert _one(spark, X.boolish("s"), "s string", rows) == [1, 0, None, None]
-    assert _one(spark, X.boolish("s", unknown_as_zero=True), "s string", rows) == [1, 0, 0, 0]
+    # the mapping knows True / False as values and as exactly spelled text
+    rows = [("True",), ("False",), ("false",), (" True",), ("maybe",), (None,)]
+    assert _one(spark, X.boolish("s"), "s string", rows) == [1, 0, None, None, None, None]
+    assert _one(spark, X.boolish("s"), "s boolean", [(True,), (False,), (None,)]) == [1, 0, None]
+    assert _one(spark, X.boolish("s", unknown_as_zero=True), "s string", rows) == [1, 0, 0, 0, 0, 0]
     assert _one(spark, X.to_number("s"), "s string", [(" 12.5 ",), ("x",), (None,)]) == [12.5, None, None]
 
 
