@@ -165,7 +165,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     numbered = whole.withColumn("n", F.monotonically_increasing_id())
     sizes = document_sizes(whole.select("doc.*"))
     mixed = fair_mix(sizes).where("copies > 0").select(F.col("row.n").alias("n"), "copies")
-    out = numbered.join(mixed, "n").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # as many rows as documents: always a shuffle join
+    out = numbered.join(mixed.hint("merge"), "n").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select("doc.*")
 
 

@@ -50,6 +50,7 @@ DF_BUCKETS = 1 << 18
 AGREE = 0.5  # share of equal samples below which a pair is not verified
 SMALL = 64
 LEVELS = 2
+MARKS = 1 << 21
 CHUNK = 1 << 17  # shingles handled together
 
 
@@ -236,7 +237,12 @@ class _Sets:
                 ids = [shingle_ids(values[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["n", "ids"])
 
-        need = docs.join(candidates, "n", "left_semi")
+        # texts stay where they are read: a table of hash marks of the
+        # candidates, at most MARKS rows, filters the scan; a text that shares
+        # a mark by chance is written too and never joined
+        mark = F.pmod(F.xxhash64("n"), F.lit(MARKS)).alias("mark")
+        marks = stage(candidates.select(mark).distinct(), "neardup_marks")
+        need = docs.select("n", "text", mark).join(F.broadcast(marks), "mark", "left_semi")
         self.spark, self.name = spark, f"neardup_sets_{uuid.uuid4().hex}"
         sets = _hashed_words(need).select("n", "h").mapInArrow(run, "n long, ids binary")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -316,10 +322,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = None
 
     def relabel() -> DataFrame:
-        every = links[0]
-        for x in links[1:]:
-            every = every.union(x)
-        return components(every)
+        """Classes of all links: the classes so far, as stars, and new links."""
+        new = links[-1]
+        return components(new if labels is None else new.union(labels.select(F.col("n").alias("a"), F.col("c").alias("b"))))
 
     def with_class(k: DataFrame) -> DataFrame:
         if labels is None:
@@ -333,9 +338,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return [F.max(pick(central)).alias("l0"), F.max(pick(chance)).alias("l1")]
 
     for level in range(LEVELS):
-        # a text in large buckets is central in its group: most links go there
+        # a text in large buckets is central in its group: most links go there;
+        # both leaders are the same in most buckets of a group, so a text meets
+        # few of them however many buckets it is in
         support = keys.join(keys.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("n").agg(F.sum("size").alias("support"))
-        keys = stage(keys.join(support, "n").withColumn("chance", F.xxhash64(F.lit(level), "key", "n")), "neardup_keys")
+        keys = stage(keys.join(support, "n").withColumn("chance", F.xxhash64(F.lit(level), "n")), "neardup_keys")
         classed = with_class(keys)
         stars = classed.join(classed.groupBy("key").agg(*best()), "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l"))
         links.append(verified(stars.where("c != l.c").select(F.col("n").alias("a"), F.col("l.n").alias("b"))))
@@ -371,7 +378,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The first document of every class, with the columns of ``docs``."""
     keep = stage(near_duplicates(docs).where("n = class").select(F.col("n").alias("__n")), "neardup_kept")
-    return docs.withColumn("__n", F.monotonically_increasing_id()).join(keep, "__n", "left_semi").drop("__n")
+    # the kept rows are as many as the documents: always a shuffle join
+    return docs.withColumn("__n", F.monotonically_increasing_id()).join(keep.hint("merge"), "__n", "left_semi").drop("__n")
 
 
 def op3_weighted_minhash(spark, sf_dir: str) -> DataFrame:
