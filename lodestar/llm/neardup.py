@@ -21,9 +21,9 @@ compared with two leaders: the most central text (the one whose buckets are
 largest, for a group of near copies the one with the fewest edits) and one by
 hash.  Buckets that then still hold several classes and at most ``SMALL``
 texts compare the texts of different classes.  In larger ones two members
-outside the central class lead another star, and the bucket is split by a
-second band that must agree too and goes round again.  Equal texts are one
-member from the start.
+outside the central class lead another star; what is then still mixed is
+finished by an exact join on the rarest shingles (``prefix_pairs``), so no pair
+of a bucket is left out.  Equal texts are one member from the start.
 
 Defined results: null and blank texts form classes by equal text only (null
 counts as a text of its own); a text under five words is one shingle; repeated
@@ -49,7 +49,7 @@ DAMP = 0.1
 DF_BUCKETS = 1 << 18
 AGREE = 0.5  # share of equal samples below which a pair is not verified
 SMALL = 64
-LEVELS = 2
+SPREAD = 1024  # rows of one shingle on the probing side of a join partition
 MARKS = 1 << 21
 CHUNK = 1 << 17  # shingles handled together
 
@@ -253,6 +253,65 @@ class _Sets:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def prefix_pairs(sets: DataFrame, rest: DataFrame, df, n_docs: int) -> DataFrame:
+    """Pairs (a, b) of texts of ``rest`` (n, c) in different classes c: all
+    whose weighted or plain Jaccard similarity reaches ``THRESHOLD``, and some
+    more.
+
+    Shingles in one order, rare ones first.  Similar texts x, y have an overlap
+    of at least t / (1 + t) of their sizes' sum, so the larger one has a common
+    shingle where at least t of its size is still to come and the smaller one
+    where 2 t / (1 + t) is; at the first common shingle both have as much to
+    come as the overlap needs.  What a large group shares is frequent, comes
+    last and mostly lies behind these prefixes."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        table, least, first = df.value, THRESHOLD - 1e-6, 2 * THRESHOLD / (1 + THRESHOLD) - 1e-6
+        kinds = {"n": "int64", "c": "int64", "token": "int32", "total": "float64", "size": "int32", "to_come": "float64", "many": "int32", "head": "bool"}
+        waiting, held = [], 0
+
+        def flush():
+            cols = [np.concatenate([w[i] for w in waiting]).astype(t) for i, t in enumerate(kinds.values())]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=list(kinds))
+
+        for batch in batches:
+            for n, c, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                ids, tf = runs_of(np.frombuffer(raw, "uint32"))
+                w = weights(ids, tf, table, n_docs)
+                order = np.lexsort((ids, table[ids & np.uint32(DF_BUCKETS - 1)]))
+                to_come = np.cumsum(w[order][::-1])[::-1]
+                total, size = to_come[0], len(ids)
+                many = np.arange(size, 0, -1)
+                probe = int(((to_come >= least * total) | (many >= least * size)).sum())
+                head = (to_come >= first * total) | (many >= first * size)
+                full = lambda x: np.full(probe, x)
+                waiting.append((full(n), full(c), ids[order][:probe].view("int32"), full(total), full(size), to_come[:probe], many[:probe], head[:probe]))
+                held += probe
+                if held >= CHUNK:
+                    yield flush()
+                    waiting, held = [], 0
+        if waiting:
+            yield flush()
+
+    kinds = "n long, c long, token int, total double, size int, to_come double, many int, head boolean"
+    found = stage(rest.join(sets, "n").select("n", "c", "ids").mapInArrow(run, kinds), "neardup_prefixes")
+    tokens = found.groupBy("token").agg(F.count("*").alias("held"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+    tokens = tokens.select("token", F.ceil(F.col("held") / SPREAD).alias("parts"))
+    held = stage(found.join(tokens, "token"), "neardup_tokens")
+    x = held.where("head").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).alias("x")
+    y = held.withColumn("part", F.pmod(F.xxhash64("n"), F.col("parts"))).alias("y")
+
+    def fits(size: str, left: str):
+        a, b, near = F.col(f"x.{size}"), F.col(f"y.{size}"), F.least(f"x.{left}", f"y.{left}")
+        return (a <= b * (1 + 1e-9)) & (a >= b * (THRESHOLD - 1e-6)) & (near >= (a + b) * (THRESHOLD / (1 + THRESHOLD) - 1e-6))
+
+    on = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") != F.col("y.c"))
+    return x.join(y, on & (fits("total", "to_come") | fits("size", "many"))).select(F.col("x.n").alias("a"), F.col("y.n").alias("b"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(n, c): every text that has a link, with the least row of its class.
 
@@ -337,39 +396,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pick = (lambda x: x) if when is None else (lambda x: F.when(when, x))
         return [F.max(pick(central)).alias("l0"), F.max(pick(chance)).alias("l1")]
 
-    for level in range(LEVELS):
-        # a text in large buckets is central in its group: most links go there;
-        # both leaders are the same in most buckets of a group, so a text meets
-        # few of them however many buckets it is in
-        support = keys.join(keys.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("n").agg(F.sum("size").alias("support"))
-        keys = stage(keys.join(support, "n").withColumn("chance", F.xxhash64(F.lit(level), "n")), "neardup_keys")
-        classed = with_class(keys)
-        stars = classed.join(classed.groupBy("key").agg(*best()), "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l"))
-        links.append(verified(stars.where("c != l.c").select(F.col("n").alias("a"), F.col("l.n").alias("b"))))
-        labels = relabel()
-        classed = with_class(keys)
-        mixed = classed.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"), *best()[:1]
-        )
-        mixed = mixed.where("lo != hi").select("key", "size", F.col("l0.c").alias("main"))
-        mixed = stage(classed.join(mixed, "key"), "neardup_mixed")
-        small = mixed.where(F.col("size") <= SMALL)
-        other = small.select("key", F.col("n").alias("m"), F.col("c").alias("d"))
-        cross = small.join(other, "key").where("n < m and c != d").select(F.col("n").alias("a"), F.col("m").alias("b"))
-        # of large ones, two members outside the central class lead the others
-        large = mixed.where(F.col("size") > SMALL)
-        heads = large.groupBy("key").agg(*best(F.col("c") != F.col("main")))
-        more_stars = large.join(heads, "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l")).where("c != l.c")
-        links.append(verified(cross.union(more_stars.select(F.col("n").alias("a"), F.col("l.n").alias("b")))))
+    # a text in large buckets is central in its group: most links go there;
+    # both leaders are the same in most buckets of a group, so a text meets
+    # few of them however many buckets it is in
+    support = keys.join(keys.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("n").agg(F.sum("size").alias("support"))
+    keys = stage(keys.join(support, "n").withColumn("chance", F.xxhash64(F.lit(0), "n")), "neardup_keys")
+    classed = with_class(keys)
+    stars = classed.join(classed.groupBy("key").agg(*best()), "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l"))
+    links.append(verified(stars.where("c != l.c").select(F.col("n").alias("a"), F.col("l.n").alias("b"))))
+    labels = relabel()
+    classed = with_class(keys)
+    mixed = classed.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"), *best()[:1]
+    )
+    mixed = mixed.where("lo != hi").select("key", "size", F.col("l0.c").alias("main"))
+    mixed = stage(classed.join(mixed, "key"), "neardup_mixed")
+    small = mixed.where(F.col("size") <= SMALL)
+    other = small.select("key", F.col("n").alias("m"), F.col("c").alias("d"))
+    cross = small.join(other, "key").where("n < m and c != d").select(F.col("n").alias("a"), F.col("m").alias("b"))
+    # of large ones, two members outside the central class lead the others
+    large = mixed.where(F.col("size") > SMALL)
+    heads = large.groupBy("key").agg(*best(F.col("c") != F.col("main")))
+    more_stars = large.join(heads, "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l")).where("c != l.c")
+    links.append(verified(cross.union(more_stars.select(F.col("n").alias("a"), F.col("l.n").alias("b")))))
+    labels = relabel()
+    # large buckets that are still mixed: every pair that can be similar
+    classed = with_class(large.select("key", "n"))
+    still = classed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
+    rest = stage(classed.join(still, "key").select("n", "c").distinct(), "neardup_rest")
+    if not rest.isEmpty():
+        links.append(verified(prefix_pairs(sets.table, rest, df, n_docs)))
         labels = relabel()
-        if level + 1 == LEVELS or large.isEmpty():
-            break
-        # a second band must agree: near copies share one with all but
-        # (1 - THRESHOLD**ROWS) ** (BANDS - 1) probability
-        more = large.select("key", "n").join(sketch.select("n", "bands"), "n").select("n", "key", F.explode("bands").alias("band"))
-        more = more.where("band != key").select("n", F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key")).distinct()
-        again = more.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-        keys = more.join(again, "key").select("key", "n")
     sets.drop()
     whole = rows.select("n", "text_key").join(firsts, "text_key")
     return whole.join(labels.select(F.col("n").alias("first"), "c"), "first", "left").select("n", F.coalesce("c", "first").alias("class"))

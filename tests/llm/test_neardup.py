@@ -114,3 +114,18 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r["n"]: r["c"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_near_pairs_inside_a_large_template_group(spark, make_docs, sf_of):
+    """Many texts at similarity 0.76, and pairs at 0.82 among them whose bands
+    mostly lie in the template."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=7))
+    template, texts = [word() for _ in range(173)], {}
+    for i in range(1500):
+        texts[i] = template + [word() for _ in range(27)]
+    for i in range(40):
+        texts[1500 + i] = texts[i][:-19] + [word() for _ in range(19)]
+    rows = [(i, " ".join(t)) for i, t in texts.items()]
+    got = {r["doc_id"]: r["class_id"] for r in op3_weighted_minhash(spark, sf_of(documents=make_docs(rows))).collect()}
+    assert got == {i: i - 1500 if i >= 1500 else i for i in texts}
