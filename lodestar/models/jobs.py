@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.models.families import PROFILES
 from lodestar.models.panel import cross_validate, prepare, retrain_until, train_panel
 from lodestar.models.score import batch_score, load_bundle, make_bundle, save_bundle, top_importances
 from lodestar.operators import rank as R
@@ -55,9 +56,9 @@ def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_panel_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every family (small settings) on the market-position rows."""
+    """The market task's families and settings on the market-position rows."""
     rows = _market_rows(spark, sf_dir)
-    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"])
+    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
     return R.rank_models(scores, "f1", within=[], tie=["model"])
 
 
@@ -66,16 +67,14 @@ def churn_smote_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     bal = stage(smote(_churn(spark, sf_dir), "churned", CHURN_FEATURES, k=5, seed=42), "churn_balanced")
     bal = bal.withColumn("_row", F.monotonically_increasing_id())
     bal = stage(bal, "churn_balanced_keyed")
-    scores, _, _ = train_panel(bal, "churned", CHURN_FEATURES, profile="fast", key_cols=["_row"],
-                               families=["LogisticRegression", "DecisionTree", "RandomForest", "GaussianNB", "KNN"])
+    scores, _, _ = train_panel(bal, "churned", CHURN_FEATURES, profile="churn", key_cols=["_row"])
     return scores
 
 
 def panel_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best family by F1 (first in panel order on ties)."""
     rows = _market_rows(spark, sf_dir)
-    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="fast", key_cols=["o_orderkey"],
-                               families=["LogisticRegression", "DecisionTree", "GaussianNB"])
+    scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
     return R.best_model(scores.withColumn("task", F.lit("market")), within=["task"], by="f1")
 
 
@@ -85,23 +84,20 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-fold stratified CV F1 of logistic regression over all prepared
+    """5-fold stratified CV F1 of every churn family over all prepared
     rows (the reference cross-validates on the whole scaled table)."""
     prep = prepare(_churn(spark, sf_dir), "churned", CHURN_FEATURES, key_cols=["customer_id"], fit_scope="all")
-    f1 = cross_validate(prep.train.unionByName(prep.test), "LogisticRegression", folds=5)
-    return spark.createDataFrame([("LogisticRegression", float(f1))], "model string, cv_f1 double")
+    rows = prep.train.unionByName(prep.test)
+    f1s = [(name, float(cross_validate(rows, name, profile="churn", folds=5))) for name in PROFILES["churn"].families]
+    return spark.createDataFrame(f1s, "model string, cv_f1 double")
 
 
 def retrain_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two retrain iterations and the running best.  The second
-    iteration tunes logistic regression over its whole second grid (3-fold
-    CV F1; the reference tunes from iteration 2 on, with the grid of that
-    iteration); the random forest keeps the fast profile: one fold fit of the
-    reference's first forest grid point (200 trees, unbounded depth) runs
-    for many minutes in Spark even at sf0.01."""
+    """Up to ten retrain iterations of the market task's families
+    and the running best.  From the second one on, every family with a grid is
+    tuned over that iteration's grid (3-fold CV F1)."""
     rows = _market_rows(spark, sf_dir)
-    hist = retrain_until(rows, "above_market", MARKET_FEATURES, max_iter=2, families=["LogisticRegression", "RandomForest"],
-                         tune_families=["LogisticRegression"])
+    hist = retrain_until(rows, "above_market", MARKET_FEATURES, max_iter=10, profile="market")
     return R.running_best(hist, "iteration", ["f1", "roc_auc"])
 
 
@@ -109,7 +105,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S12 + M19: fit, save and reload a bundle, then score every customer
     row (with one feature column missing, so its saved default is used)."""
     churn = _churn(spark, sf_dir)
-    scores, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["RandomForest"], key_cols=["customer_id"])
+    scores, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, profile="churn", families=["RandomForest"], key_cols=["customer_id"])
     bundle = make_bundle(fitted["RandomForest"], "RandomForest", CHURN_FEATURES, churn, prep.bounds)
     path = f"{checkpoint_root(spark).rstrip('/')}/bundles/churn-{uuid.uuid4().hex}"
     save_bundle(bundle, path)
@@ -120,7 +116,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bundle_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-5 importances of the best tree model."""
     churn = _churn(spark, sf_dir)
-    _, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["RandomForest"], key_cols=["customer_id"])
+    _, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, profile="churn", families=["RandomForest"], key_cols=["customer_id"])
     bundle = make_bundle(fitted["RandomForest"], "RandomForest", CHURN_FEATURES, churn, prep.bounds)
     return top_importances(spark, bundle, k=5)
 
@@ -166,11 +162,10 @@ def agent_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = ml_ready(ml_ready_tables(spark, sf_dir))
     table = stage(table, "agent_ready")
     candidates = [c for c in numeric_columns(table) if c not in ("churn", "doc_id")]
-    imp = rf_importance(table, "churn", candidates, trees=50)
+    imp = rf_importance(table, "churn", candidates, trees=100)
     pairs = corr_pairs(table, candidates + ["churn"], digits=2)
     kept = [r["feature"] for r in prune_correlated(pairs, imp).orderBy("rank").collect()]  # schema-sized list
-    scores, _, _ = train_panel(table, "churn", kept or candidates, profile="fast", key_cols=["doc_id"],
-                               families=["LogisticRegression", "DecisionTree", "RandomForest", "GaussianNB"])
+    scores, _, _ = train_panel(table, "churn", kept or candidates, profile="agent", key_cols=["doc_id"])
     mean = (F.col("f1") + F.col("roc_auc")) / 2
     return R.rank_models(scores.withColumn("f1_auc_mean", mean), "f1_auc_mean", within=[], tie=["model"]).withColumn(
         "features", F.lit(",".join(kept))
