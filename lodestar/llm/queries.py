@@ -7,6 +7,7 @@ from lodestar.llm.hilbert import op9_hilbert_shards
 from lodestar.llm.mixing import op7_fair_queue_mix
 from lodestar.llm.neardup import op3_weighted_minhash
 from lodestar.llm.packing import op8_best_fit_pack
+from lodestar.llm.periodic import op11_periodic_runs
 from lodestar.llm.pii import op10_candidate_boosting
 from lodestar.llm.quality import op2_decision_list
 from lodestar.llm.secrets import op4_secret_ownership
@@ -26,6 +27,7 @@ QUERIES = {
         op8_best_fit_pack,
         op9_hilbert_shards,
         op10_candidate_boosting,
+        op11_periodic_runs,
     )
 }
 
