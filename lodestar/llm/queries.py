@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lodestar.llm.ann import op1_nn_descent
+from lodestar.llm.divergence import OP13_SQL, op13_perfect_hash_recount
 from lodestar.llm.hilbert import op9_hilbert_shards
 from lodestar.llm.mixing import op7_fair_queue_mix
 from lodestar.llm.neardup import op3_weighted_minhash
@@ -13,6 +14,7 @@ from lodestar.llm.quality import op2_decision_list
 from lodestar.llm.secrets import op4_secret_ownership
 from lodestar.llm.toxicity import op5_levenshtein_toxicity
 from lodestar.llm.transducer import op6_transducer_counts
+from lodestar.llm.urls import OP12_SQL, op12_bloom_cascade
 
 QUERIES = {
     f.__name__: f
@@ -28,7 +30,9 @@ QUERIES = {
         op9_hilbert_shards,
         op10_candidate_boosting,
         op11_periodic_runs,
+        op12_bloom_cascade,
+        op13_perfect_hash_recount,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_bloom_cascade": OP12_SQL, "op13_perfect_hash_recount": OP13_SQL}
