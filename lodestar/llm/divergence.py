@@ -10,15 +10,17 @@ shards are broadcast and the texts are read again; every (language, source)
 group counts in dense arrays, one slot a kept term.  What is broadcast at once
 is at most ``SHIPPED`` bytes; more shards are counted in further passes over
 the texts.  The dense arrays of a task hold at most ``SLOTS`` counts; beyond
-that they are handed on and cleared.
+that they are handed on and cleared.  They leave the task as packed rows, one a
+group and shard, and are added in rounds of ``FAN`` at a time, so no term is a
+row of its own and no task adds up what all others have counted.
 
 A shard of a language is also the block in which its sources are compared, a
 tile of ``TILE`` sources against all: their probabilities of the block's terms
-are small matrices, and only sums per pair of sources and the best terms leave
-the task.
+are small matrices (``CELLS`` values), and only sums per pair of sources and the
+best terms leave the task.
 
-Arithmetic is exact: probabilities are billionths, floored, computed as
-38-digit decimals; divergences are 64-bit integers.
+Arithmetic is exact: probabilities are billionths, floored, in 64-bit integers
+or, where those could overflow, Python's; divergences are 64-bit integers.
 
 Defined results: null text, language or source counts as an empty string; a
 text without terms still makes its group; very long texts are read whole; ties
@@ -32,7 +34,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.session import stage
@@ -40,7 +42,9 @@ from lodestar.session import stage
 MIN_DOCS = 10
 TOP = 10
 UNIT = 10**9
-SHARD = 2048  # kept terms of a shard, about
+SHARD = 2048  # kept terms of a shard, about; fewer where there are many sources
+CELLS = 1 << 21  # sources times terms of a block, about
+FAN = 64  # packed rows added together in a round
 SHIPPED = 16 << 20
 SLOTS = 1 << 22
 HELD = 500_000  # distinct (language, term) pairs a task holds before it hands them on
@@ -189,9 +193,34 @@ def shard_terms(kept: DataFrame, langs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- second pass
+PACKED = "lang string, source string, shard long, part long, slots binary, counts binary, total long"
+
+
+def packed_row(lang: str, source: str, shard: int, part: int, counts) -> tuple:
+    """Dense counts as their non-zero slots."""
+    import numpy as np
+
+    slots = np.flatnonzero(counts)
+    return lang, source, shard, part, slots.astype("<i4").tobytes(), counts[slots].astype("<i8").tobytes(), int(counts.sum())
+
+
+def unpacked(slots: bytes, counts: bytes):
+    import numpy as np
+
+    return np.frombuffer(slots, "<i4"), np.frombuffer(counts, "<i8")
+
+
+def _table(rows: list[tuple], schema: str):
+    import pyarrow as pa
+
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
 def recount(docs: DataFrame, shards: DataFrame, langs: DataFrame, shipped: int | None = None) -> DataFrame:
-    """(lang, source, shard, slot, n): occurrences of every kept term in each
-    group, where there are any."""
+    """(lang, source, shard, part, slots, counts, total): occurrences of every
+    kept term in each group, one packed row per group and shard that has any."""
     spark = docs.sparkSession
     shipped = SHIPPED if shipped is None else shipped
     size = F.length("displacement") + F.length("keys")
@@ -202,27 +231,44 @@ def recount(docs: DataFrame, shards: DataFrame, langs: DataFrame, shipped: int |
         if load and room + r["bytes"] > shipped:
             loads, load, room = [*loads, load], [], 0
         load, room = [*load, (r["lang"], r["shard"])], room + r["bytes"]
-    parts = []
+    out = spark.createDataFrame([], PACKED)
     for load in [*loads, load] if load else []:
         chosen = spark.createDataFrame(load, "lang string, shard long")
         rows = shards.join(F.broadcast(chosen), ["lang", "shard"]).join(langs.select("lang", "shards"), "lang")
         rows = rows.select("lang", "shards", "shard", "displacement", "keys").collect()  # at most ``shipped`` bytes, or one shard
         sent = spark.sparkContext.broadcast([(*r[:3], bytes(r["displacement"]), bytes(r["keys"])) for r in rows])
-        parts.append(stage(_count(docs, sent), "divergence_counts"))
+        out = out.union(_added(stage(_count(docs, sent), "divergence_counts")))
         sent.unpersist()
-    if not parts:
-        return spark.createDataFrame([], "lang string, source string, shard long, slot int, n long")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
     return out
 
 
+def _added(packed: DataFrame) -> DataFrame:
+    """One row per group and shard: ``FAN`` neighbouring parts are added, and so
+    on until one part is left."""
+
+    def add(key, table):
+        import numpy as np
+
+        both = [unpacked(a, b) for a, b in zip(table.column("slots").to_pylist(), table.column("counts").to_pylist(), strict=True)]
+        counts = np.zeros(max(int(a[-1]) for a, _ in both if len(a)) + 1 if any(len(a) for a, _ in both) else 0, "int64")
+        for slots, n in both:
+            counts[slots] += n
+        return _table([packed_row(*(k.as_py() for k in key), counts)], PACKED)
+
+    while True:
+        last = packed.agg(F.max("part").alias("part")).first()["part"] or 0
+        halved = packed.withColumn("part", F.floor(F.col("part") / FAN))
+        packed = stage(halved.groupBy("lang", "source", "shard", "part").applyInArrow(add, PACKED), "divergence_added")
+        if last < FAN:
+            return packed
+
+
 def _count(docs: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
+        from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId()
         tables: dict = {}
         for lang, shards, shard, displacement, keys in sent.value:
             tables.setdefault(lang, (shards, {}))[1][shard] = PerfectHash(np.frombuffer(displacement, "<i8"), keys.split(b" "))
@@ -230,54 +276,72 @@ def _count(docs: DataFrame, sent) -> DataFrame:
         held = 0
 
         def flush():
-            for (lang, source, shard), counts in dense.items():
-                slot = np.flatnonzero(counts)
-                full = lambda x, kind, k=len(slot): pa.array([x] * k, kind)
-                yield pa.RecordBatch.from_arrays(
-                    [full(lang, pa.string()), full(source, pa.string()), full(shard, pa.int64()), pa.array(slot.astype("int32")), pa.array(counts[slot])],
-                    names=["lang", "source", "shard", "slot", "n"],
-                )
+            rows = [packed_row(*group, part, counts) for group, counts in dense.items()]
             dense.clear()
+            for a in range(0, len(rows), 1000):
+                yield from _table(rows[a : a + 1000], PACKED).to_batches()
 
         for batch in batches:
             seen: dict = {}
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if lang in tables:
                     seen.setdefault((lang, source), Counter()).update(terms(text.as_py()))
+            hashed: dict = {}  # the terms of a language in this batch
+            for lang, _ in seen:
+                if lang not in hashed:
+                    keys = list(set().union(*(c for (other, _), c in seen.items() if other == lang)))
+                    hashed[lang] = dict(zip(keys, zip(*_located(keys, *tables[lang]), strict=True), strict=True))
             for (lang, source), counted in seen.items():
-                shards, of_shard = tables[lang]
-                keys = list(counted)
-                h, n = hashes(keys), np.fromiter(counted.values(), "int64", len(keys))
-                of = (h >> np.uint64(1)) % np.uint64(shards)
-                order = np.argsort(of, kind="stable")
-                cuts = np.flatnonzero(np.diff(of[order].astype("int64"), prepend=-1))
-                for at in np.split(order, cuts[1:]) if len(order) else ():
-                    shard = int(of[at[0]])
-                    table = of_shard.get(shard)
-                    if table is None:  # counted in another pass
-                        continue
-                    places = table.places([keys[i] for i in at], h[at])
+                where = hashed[lang]
+                at = np.array([where[k] for k in counted], "int64").reshape(-1, 2)
+                n = np.fromiter(counted.values(), "int64", len(counted))
+                known = at[:, 1] >= 0
+                at, n = at[known], n[known]
+                order = np.argsort(at[:, 0], kind="stable")
+                at, n = at[order], n[order]
+                cuts = np.flatnonzero(np.diff(at[:, 0], prepend=-1))
+                for a, b in zip(cuts, np.append(cuts[1:], len(n)), strict=False):
+                    shard = int(at[a, 0])
                     counts = dense.get((lang, source, shard))
                     if counts is None:
-                        counts = dense[(lang, source, shard)] = np.zeros(len(table), "int64")
-                        held += len(table)
-                    known = places >= 0
-                    counts[places[known]] += n[at][known]
+                        counts = dense[(lang, source, shard)] = np.zeros(len(tables[lang][1][shard]), "int64")
+                        held += len(counts)
+                    counts[at[a:b, 1]] += n[a:b]
                     if held > SLOTS:
                         yield from flush()
                         held = 0
         yield from flush()
 
-    found = _texts(docs).mapInArrow(run, "lang string, source string, shard long, slot int, n long")
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+    return _texts(docs).mapInArrow(run, PACKED)
+
+
+def _located(keys: list[bytes], shards: int, tables: dict) -> tuple[list, list]:
+    """Shard and place of each key; place -1: not a kept term of these tables."""
+    import numpy as np
+
+    h = hashes(keys)
+    of = ((h >> np.uint64(1)) % np.uint64(shards)).astype("int64")
+    place = np.full(len(keys), -1, "int64")
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.diff(of[order], prepend=-1))
+    for at in np.split(order, cuts[1:]) if len(order) else ():
+        table = tables.get(int(of[at[0]]))
+        if table is not None:  # else counted in another pass
+            place[at] = table.places([keys[i] for i in at], h[at])
+    return of.tolist(), place.tolist()
 
 
 # -------------------------------------------------------------- divergence
-def probability(n: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(10**9 (n + 2) / (total + 2 kept)), exactly."""
-    wide = lambda c: c.cast("decimal(38,0)")
-    share = F.call_function("div", wide(F.lit(UNIT)) * wide(n + 2), wide(total + 2 * kept))
-    return share.cast("long") + 1
+def probability(n, total: int, kept: int):
+    """1 + floor(10**9 (n + 2) / (total + 2 kept)) of an array of counts, exactly."""
+    import numpy as np
+
+    if len(n) and int(n.max()) + 2 >= (1 << 63) // UNIT:
+        return np.array([1 + UNIT * (int(x) + 2) // (total + 2 * kept) for x in n], "int64")
+    return 1 + UNIT * (n + 2) // (total + 2 * kept)
+
+
+FOUND = "lang string, source string, part string, item string, value long"
 
 
 def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
@@ -288,95 +352,74 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
     source has more often than its language, the ``top`` first."""
     kept = stage(kept_terms(docs, min_docs), "divergence_terms")
     groups = stage(_texts(docs).select("lang", "source").distinct(), "divergence_groups")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"))
-    langs = groups.select("lang").distinct().join(langs, "lang", "left").select("lang", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"))
-    langs = langs.withColumn("shards", F.greatest(F.ceil(F.col("kept") / SHARD), F.lit(1)).cast("long"))
-    tiles = groups.groupBy("lang").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    langs = stage(langs.join(tiles, "lang"), "divergence_langs")
-    shards = stage(shard_terms(kept, langs), "divergence_shards")
-    counts = stage(recount(docs, shards, langs), "divergence_slots")
-
-    # probabilities: of each slot that occurs, and of any other in its group
-    of_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    of_group = groups.join(of_group, ["lang", "source"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
-    of_group = stage(of_group.join(langs, "lang"), "divergence_totals")
-    of_lang = of_group.groupBy("lang", "kept").agg(F.sum("total").alias("total"))
-    whole = counts.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("n")).join(of_lang, "lang")
-    p = probability(F.col("n"), F.col("total"), F.col("kept")).alias("p")
-    lang_rows = whole.select("lang", "shard", F.lit(None).cast("string").alias("source"), "slot", p)
-    group_rows = counts.join(of_group, ["lang", "source"]).select("lang", "shard", "source", "slot", p)
-    least = F.when(F.col("kept") > 0, probability(F.lit(0), F.col("total"), F.greatest(F.col("kept"), F.lit(1)))).otherwise(F.lit(1))
-    every = of_group.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
-    base_rows = every.select("lang", "shard", "source", F.lit(-1).alias("slot"), least.cast("long").alias("p"))
+    langs = groups.groupBy("lang").agg(F.count("*").alias("sources"))
+    langs = langs.join(kept.groupBy("lang").agg(F.count("*").alias("kept")), "lang", "left").fillna(0, ["kept"])
+    of_shard = F.greatest(F.least(F.lit(SHARD), F.floor(F.lit(CELLS) / F.col("sources"))), F.lit(1))
+    shards = F.greatest(F.ceil(F.col("kept") / of_shard), F.lit(1)).cast("long")
+    langs = stage(langs.withColumn("shards", shards).withColumn("tiles", F.ceil(F.col("sources") / TILE).cast("int")), "divergence_langs")
+    compiled = stage(shard_terms(kept, langs), "divergence_shards")
+    counts = stage(recount(docs, compiled, langs), "divergence_slots").drop("part")
+
+    totals = counts.groupBy("lang", "source").agg(F.sum("total").alias("total"))
+    totals = groups.join(totals, ["lang", "source"], "left").fillna(0, ["total"])
+    lang_total = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
+    totals = totals.join(langs.join(lang_total, "lang"), "lang")
+    every = totals.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+    blocks = every.join(counts.drop("total"), ["lang", "source", "shard"], "left")
     tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile")
-    per_tile = lambda rows: rows.join(langs.select("lang", "tiles"), "lang").select("*", tile)
-    blocks = per_tile(base_rows.union(group_rows).union(lang_rows))
-    keys = per_tile(shards.select("lang", "shard", "keys")).select(*[F.col(c).alias(f"key_{c}") for c in ("lang", "shard", "tile")], "keys")
+    blocks = blocks.select("lang", "shard", "source", "kept", "total", "lang_total", "tiles", "slots", "counts", tile)
+    keys = compiled.join(langs.select("lang", "tiles"), "lang").select("*", tile)
+    keys = keys.select(*[F.col(c).alias(f"key_{c}") for c in ("lang", "shard", "tile")], "keys")
 
     def compare(key, left, right):
         import zlib
 
         import numpy as np
-        import pyarrow as pa
 
         names = right.column("keys").to_pylist()
         names = names[0].split(b" ") if names else []
-        source, slot, p = (left.column(c).to_pylist() for c in ("source", "slot", "p"))
-        sources = sorted({s for s in source if s is not None}, key=str.encode)
-        row = {s: i for i, s in enumerate(sources)}
-        least, lang_p = np.zeros(len(sources), "int64"), np.ones(len(names), "int64")
-        at, place, value = [], [], []
-        for s, k, x in zip(source, slot, p, strict=True):
-            if s is None:
-                lang_p[k] = x
-            elif k < 0:
-                least[row[s]] = x
-            else:
-                at.append(row[s])
-                place.append(k)
-                value.append(x)
-        at, place, value = (np.array(v, "int64") for v in (at, place, value))
-        lang, own_tile, tiles = key[0].as_py(), key[2].as_py(), left.column("tiles")[0].as_py()
-
-        def dense(some):
-            """Probabilities of the sources numbered ``some`` (sorted) by slot."""
-            out = np.repeat(least[some, None], len(names), axis=1)
-            nth = np.searchsorted(some, at)
-            mine = some[np.minimum(nth, len(some) - 1)] == at
-            out[nth[mine], place[mine]] = value[mine]
+        sources, total, packed = left.column("source").to_pylist(), left.column("total").to_pylist(), left.select(["slots", "counts"]).to_pylist()
+        lang, own_tile = key[0].as_py(), key[2].as_py()
+        one = lambda c: left.column(c)[0].as_py()
+        tiles, kept, lang_total = one("tiles"), one("kept"), one("lang_total")
+        held = [unpacked(r["slots"] or b"", r["counts"] or b"") for r in packed]
+        whole = np.zeros(len(names), "int64")
+        for slots, n in held:
+            whole[slots] += n
+        lang_p = probability(whole, lang_total, kept) if names else whole
+
+        def probabilities(some):
+            """Those of the sources numbered ``some``, by slot."""
+            out = np.zeros((len(some), len(names)), "int64")
+            for i, k in enumerate(some):
+                out[i, held[k][0]] = held[k][1]
+                if names:
+                    out[i] = probability(out[i], total[k], kept)
             return out
 
         def far(p, q):
             return (p - q) * (p - q) // (p + q)
 
-        out: dict = {"lang": [], "source": [], "part": [], "item": [], "value": []}
-
-        def add(s, part, items, values):
-            out["lang"] += [lang] * len(items)
-            out["source"] += [s] * len(items)
-            out["part"] += [part] * len(items)
-            out["item"] += items
-            out["value"] += [int(v) for v in values]
-
+        out: list[tuple] = []
         everyone = np.arange(len(sources))
         own = everyone[[zlib.crc32(s.encode()) % tiles == own_tile for s in sources]]
-        mine = dense(own) if len(own) else ()
-        for b in range(0, len(sources) if len(own) else 0, TILE):
+        mine = probabilities(own)
+        for b in range(0, len(sources), TILE):
             others = everyone[b : b + TILE]
-            theirs = dense(others)
+            theirs = probabilities(others)
             for i, p in zip(own, mine, strict=True):
                 sums = far(p, theirs).sum(axis=1)
-                add(sources[i], "pair", [sources[j] for j in others if j != i], sums[others != i])
+                out += [(lang, sources[i], "pair", sources[j], int(v)) for j, v in zip(others, sums, strict=True) if j != i]
         for i, p in zip(own, mine, strict=True):
-            more = place[at == i]
+            more = held[i][0]
             more = more[p[more] > lang_p[more]]
             f = far(p[more], lang_p[more])
             first = sorted(range(len(more)), key=lambda j: (-f[j], names[more[j]]))[:top]
-            add(sources[i], "term", [names[more[j]].decode() for j in first], f[first] if first else [])
-        return pa.table({k: pa.array(v, pa.int64() if k == "value" else pa.string()) for k, v in out.items()})
+            out += [(lang, sources[i], "term", names[more[j]].decode(), int(f[j])) for j in first]
+        return _table(out, FOUND)
 
     parts = blocks.groupBy("lang", "shard", "tile").cogroup(keys.groupBy("key_lang", "key_shard", "key_tile"))
-    found = stage(parts.applyInArrow(compare, "lang string, source string, part string, item string, value long"), "divergence_parts")
+    found = stage(parts.applyInArrow(compare, FOUND), "divergence_parts")
     # an item of part term comes from one shard only
     found = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), "item")

@@ -195,7 +195,8 @@ def op12_bloom_cascade(spark, sf_dir: str) -> DataFrame:
     """The rule that fits each page's url and the verdict: the rule's, else
     whether the cascade holds its host."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return filter_urls(pages, spark.createDataFrame(RULES, "rule string, verdict string"), hosts_with_words(pages))
+    rules = F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for r, v in RULES]))
+    return filter_urls(pages, spark.range(1).select(rules), hosts_with_words(pages))
 
 
 _WORDS = ", ".join(f"'{w}'" for w in HOST_WORDS)

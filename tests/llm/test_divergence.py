@@ -98,6 +98,7 @@ def test_shards_passes_and_tiles_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(divergence, "SLOTS", 6)
     monkeypatch.setattr(divergence, "HELD", 4)
     monkeypatch.setattr(divergence, "TILE", 2)
+    monkeypatch.setattr(divergence, "FAN", 2)
     assert rows_of(source_divergence(frame(spark, rows).repartition(5))) == plain(rows)
 
 
@@ -115,12 +116,11 @@ def test_empty_table(spark, sf_of):
     assert rows_of(op13_perfect_hash_recount(spark, sf_of(documents=frame(spark, [])))) == []
 
 
-def test_large_counts_stay_exact(spark):
-    from pyspark.sql import functions as F
-
-    n, total, kept = 10**13 + 7, 10**14 + 3, 10**6
-    got = spark.range(1).select(divergence.probability(F.lit(n), F.lit(total), F.lit(kept)).alias("p")).first()["p"]
-    assert got == 1 + 10**9 * (n + 2) // (total + 2 * kept)
+@pytest.mark.parametrize("n", [0, 5, 9_223_372_034, 10**13 + 7])
+def test_large_counts_stay_exact(n):
+    total, kept = 10**14 + 3, 10**6
+    got = divergence.probability(np.array([n, 1], "int64"), total, kept)
+    assert got.tolist() == [1 + 10**9 * (x + 2) // (total + 2 * kept) for x in (n, 1)]
 
 
 def test_dense_counts_of_a_text_without_kept_terms(spark):
