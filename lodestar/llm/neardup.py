@@ -12,23 +12,31 @@ into classes.
 Weights.  A near copy differs from its group in shingles of its own, which are
 rare, and shares shingles that are as frequent as the group is large.  A full
 IDF would make large groups fall apart, so term count and IDF enter damped:
-(1 + DAMP ln tf) (1 - DAMP ln df / ln N).  Document frequencies cover all
+(1 + DAMP (1 - 1 / tf)) (1 - DAMP ln df / ln N).  Both factors are bounded, so
+the weights never hide a pair whose plain similarity is high.  Document frequencies cover all
 documents; they are counted per hash bucket (``DF_BUCKETS``, a table of fixed
 size), because a table of all shingles would be as large as the corpus.
 
-No group is enumerated in full.  In every bucket of a band the members are
-compared with two leaders: the most central text (the one whose buckets are
-largest, for a group of near copies the one with the fewest edits) and one by
-hash.  Buckets that then still hold several classes and at most ``SMALL``
-texts compare the texts of different classes.  In larger ones two members
-outside the central class lead another star; what is then still mixed is
-finished by an exact join on the rarest shingles (``prefix_pairs``), so no pair
-of a bucket is left out.  Equal texts are one member from the start.
+No group is enumerated in full.  The first link is sought in rounds, in each of
+which a text meets one other: the leader of the largest of its buckets that is
+led by another class.  A bucket's leader is at first its most central text
+(the one whose buckets are largest, for a group of near copies the one with the
+fewest edits), later one by hash outside that text's class; links are
+contracted to classes before the next round.  Buckets that then still hold
+several classes and at most ``SMALL`` texts compare the texts of different
+classes.  Larger ones are finished by an exact join on the rarest shingles
+(``prefix_pairs``), so no pair of a bucket is left out.  Equal texts are one
+member from the start.
+
+Rows are numbered once, in a written copy of the table; every pass reads that,
+so the numbers hold whatever executors run it and however files are dealt to
+tasks.
 
 Defined results: null and blank texts form classes by equal text only (null
-counts as a text of its own); a text under five words is one shingle; repeated
-rows are documents of the same class; an empty table gives an empty result.
-Rows are numbered by the scan, so ``docs`` must be a table or a file scan.
+counts as a text of its own); a text under five words is one shingle; very
+long texts are read whole; of equally central leaders the later row leads, of
+a class the first row stays; repeated rows are documents of the same class; an
+empty table gives an empty result; other columns are kept and never clash.
 """
 
 from __future__ import annotations
@@ -49,6 +57,7 @@ DAMP = 0.1
 DF_BUCKETS = 1 << 18
 AGREE = 0.5  # share of equal samples below which a pair is not verified
 SMALL = 64
+STARS = 3  # rounds of one meeting a text
 SPREAD = 1024  # rows of one shingle on the probing side of a join partition
 MARKS = 1 << 21
 CHUNK = 1 << 17  # shingles handled together
@@ -84,7 +93,7 @@ def weights(ids, tf, df, n_docs: int):
     import numpy as np
 
     seen = np.maximum(df[ids & np.uint32(DF_BUCKETS - 1)], 1)
-    return (1 + DAMP * np.log(tf)) * (1 - DAMP * np.log(seen) / np.log(max(n_docs, 2)).clip(min=0.7))
+    return (1 + DAMP * (1 - 1 / tf)) * (1 - DAMP * np.log(seen) / np.log(max(n_docs, 2)).clip(min=0.7))
 
 
 def gamma_tables():
@@ -162,7 +171,8 @@ def document_frequencies(docs: DataFrame):
 
 
 def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
-    """(n, text_key, total, sig, bands) per document; texts without words have
+    """(n, text_key, total, size, sig, bands) per document: the sum of its
+    weights, its distinct shingles, samples and bands; texts without words have
     no bands."""
 
     def run(batches: Iterator) -> Iterator:
@@ -187,13 +197,13 @@ def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
         for batch in batches:
             col = batch.column(2)
             values, at = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
-            bands, sigs, totals = [None] * len(batch), [None] * len(batch), [0.0] * len(batch)
+            bands, sigs, totals, sizes = [None] * len(batch), [None] * len(batch), [0.0] * len(batch), [0] * len(batch)
             waiting, rows, size = [], [], 0
             for i in range(len(batch) + 1):
                 if waiting and (i == len(batch) or size >= CHUNK):
                     keys, sig, total = flush(waiting)
                     for k, row in enumerate(rows):
-                        bands[row], sigs[row], totals[row] = keys[k], sig[k], float(total[k])
+                        bands[row], sigs[row], totals[row], sizes[row] = keys[k], sig[k], float(total[k]), len(waiting[k][0])
                     waiting, rows, size = [], [], 0
                 if i < len(batch) and at[i + 1] > at[i]:
                     ids, tf = runs_of(shingle_ids(values[at[i] : at[i + 1]]))
@@ -201,12 +211,12 @@ def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
                     rows.append(i)
                     size += len(ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(totals), pa.array(sigs, pa.list_(pa.int8())), pa.array(bands, pa.list_(pa.int64()))],
-                names=["n", "text_key", "total", "sig", "bands"],
+                [batch.column(0), batch.column(1), pa.array(totals), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int8())), pa.array(bands, pa.list_(pa.int64()))],
+                names=["n", "text_key", "total", "size", "sig", "bands"],
             )
 
     h = _hashed_words(docs).select("n", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("text_key"), "h")
-    return h.mapInArrow(run, "n long, text_key string, total double, sig array<tinyint>, bands array<bigint>")
+    return h.mapInArrow(run, "n long, text_key string, total double, size long, sig array<tinyint>, bands array<bigint>")
 
 
 def similarity(a, b, df, n_docs: int) -> float:
@@ -330,59 +340,84 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("n", "c")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(n, doc): the rows of ``docs`` as structs, each with its number, written
+    once."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return stage(docs.select(F.monotonically_increasing_id().alias("n"), doc), "neardup_docs")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(n, class): each row of ``docs`` (n = its number in the scan) and the
-    least row number of its class."""
-    spark = docs.sparkSession
-    d = docs.select(F.monotonically_increasing_id().alias("n"), "text")
+    """(n, class): a number for each row of ``docs`` and the least number of
+    its class."""
+    return classes(numbered(docs).select("n", "doc.text"))
+
+
+def classes(d: DataFrame) -> DataFrame:
+    """(n, class) for a written table (n, text) whose numbers are unique."""
+    spark = d.sparkSession
     table, n_docs = document_frequencies(d)
     df = spark.sparkContext.broadcast(table)  # DF_BUCKETS floats
     rows = stage(sketches(d, df, n_docs), "neardup_rows")
     firsts = stage(rows.groupBy("text_key").agg(F.min("n").alias("first")), "neardup_firsts")
     texts = rows.join(firsts.select(F.col("first").alias("n")), "n", "left_semi")
-    sketch = stage(texts.where("bands is not null").select("n", "total", "sig", "bands"), "neardup_texts")
+    sketch = stage(texts.where("bands is not null").select("n", "total", "size", "sig", "bands"), "neardup_texts")
     keys = sketch.select("n", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    keys = stage(keys.join(shared, "key").select("key", "n"), "neardup_shared")
+    sizes = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    keys = stage(keys.join(sizes, "key").select("key", "n", "held"), "neardup_shared")
+    # a text in large buckets is central in its group: most links go there
+    support = keys.groupBy("n").agg(F.sum("held").alias("support"))
+    keys = stage(keys.join(support, "n"), "neardup_keys")
     sets = _Sets(d, keys.select("n").distinct())
-    side = sketch.select("n", "total", "sig")
+    try:
+        labels = _linked(sketch.select("n", "total", "size", "sig"), keys, sets, df, n_docs)
+    finally:
+        sets.drop()
+    whole = rows.select("n", "text_key").join(firsts, "text_key")
+    return whole.join(labels.select(F.col("n").alias("first"), "c"), "first", "left").select("n", F.coalesce("c", "first").alias("class"))
+
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose weighted Jaccard similarity is high enough."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        of = lambda c: side.select(F.col("n").alias(c), F.col("total").alias(f"total_{c}"), F.col("sig").alias(f"sig_{c}"))
+def _verified(pairs: DataFrame, side: DataFrame, sets: _Sets, df, n_docs: int, sampled: bool = True) -> DataFrame:
+    """The pairs (a, b) whose Jaccard similarity, weighted or plain, is high
+    enough.  Those that were found by bands are first thinned by the share of
+    equal samples."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if sampled:
+        of = lambda c: side.select(F.col("n").alias(c), *[F.col(k).alias(f"{k}_{c}") for k in ("total", "size", "sig")])
         p = pairs.join(of("a"), "a").join(of("b"), "b")
         equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        # totals too far apart cannot reach the threshold, whichever measure:
-        # weights differ by at most the factors of the damping
-        near = F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * (THRESHOLD * (1 - 2 * DAMP))
-        p = stage(p.where(near & (equal >= AGREE * BANDS * ROWS)).select("a", "b"), "neardup_pairs")
-        heads = sets.table.join(p.select(F.col("a").alias("n")).distinct(), "n", "left_semi")
-        p = p.join(sets.table.select(F.col("n").alias("b"), F.col("ids").alias("ids_b")), "b")
-        p = p.join(heads.select(F.col("n").alias("a"), F.col("ids").alias("ids_a")), "a")
+        # neither measure exceeds the smaller set's share of the larger one
+        near = lambda k: F.least(f"{k}_a", f"{k}_b") >= F.greatest(f"{k}_a", f"{k}_b") * (THRESHOLD - 1e-6)
+        pairs = p.where((near("total") | near("size")) & (equal >= AGREE * BANDS * ROWS)).select("a", "b")
+    p = stage(pairs, "neardup_pairs")
+    heads = sets.table.join(p.select(F.col("a").alias("n")).distinct(), "n", "left_semi")
+    p = p.join(sets.table.select(F.col("n").alias("b"), F.col("ids").alias("ids_b")), "b")
+    p = p.join(heads.select(F.col("n").alias("a"), F.col("ids").alias("ids_a")), "a")
 
-        def run(batches: Iterator) -> Iterator:
-            import numpy as np
-            import pyarrow as pa
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
-            table = df.value
-            for batch in batches:
-                a, b = (batch.column(i).to_pylist() for i in (2, 3))
-                ok = [
-                    similarity(np.frombuffer(x, "uint32"), np.frombuffer(y, "uint32"), table, n_docs) >= THRESHOLD
-                    for x, y in zip(a, b, strict=True)
-                ]
-                keep = pa.array(np.flatnonzero(ok))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+        table = df.value
+        for batch in batches:
+            a, b = (batch.column(i).to_pylist() for i in (2, 3))
+            ok = [
+                similarity(np.frombuffer(x, "uint32"), np.frombuffer(y, "uint32"), table, n_docs) >= THRESHOLD
+                for x, y in zip(a, b, strict=True)
+            ]
+            keep = pa.array(np.flatnonzero(ok))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+
+    return stage(p.select("a", "b", "ids_a", "ids_b").mapInArrow(run, "a long, b long"), "neardup_links")
 
-        return stage(p.select("a", "b", "ids_a", "ids_b").mapInArrow(run, "a long, b long"), "neardup_links")
 
-    links: list[DataFrame] = []
+def _linked(side: DataFrame, keys: DataFrame, sets: _Sets, df, n_docs: int) -> DataFrame:
+    """(n, c): the class of every text that has a link; ``keys``: (key, n,
+    held, support) of the buckets with two texts or more."""
     labels = None
 
-    def relabel() -> DataFrame:
+    def relabel(new: DataFrame) -> DataFrame:
         """Classes of all links: the classes so far, as stars, and new links."""
-        new = links[-1]
         return components(new if labels is None else new.union(labels.select(F.col("n").alias("a"), F.col("c").alias("b"))))
 
     def with_class(k: DataFrame) -> DataFrame:
@@ -390,60 +425,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             return k.withColumn("c", F.col("n"))
         return k.join(labels, "n", "left").withColumn("c", F.coalesce("c", "n"))
 
-    def best(when=None) -> list:
-        """Two members of a bucket: the most central and one by hash."""
-        central, chance = (F.struct(F.col(o).alias("o"), "n", "c") for o in ("support", "chance"))
-        pick = (lambda x: x) if when is None else (lambda x: F.when(when, x))
-        return [F.max(pick(central)).alias("l0"), F.max(pick(chance)).alias("l1")]
-
-    # a text in large buckets is central in its group: most links go there;
-    # both leaders are the same in most buckets of a group, so a text meets
-    # few of them however many buckets it is in
-    support = keys.join(keys.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("n").agg(F.sum("size").alias("support"))
-    keys = stage(keys.join(support, "n").withColumn("chance", F.xxhash64(F.lit(0), "n")), "neardup_keys")
-    classed = with_class(keys)
-    stars = classed.join(classed.groupBy("key").agg(*best()), "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l"))
-    links.append(verified(stars.where("c != l.c").select(F.col("n").alias("a"), F.col("l.n").alias("b"))))
-    labels = relabel()
-    classed = with_class(keys)
-    mixed = classed.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"), *best()[:1]
-    )
-    mixed = mixed.where("lo != hi").select("key", "size", F.col("l0.c").alias("main"))
-    mixed = stage(classed.join(mixed, "key"), "neardup_mixed")
-    small = mixed.where(F.col("size") <= SMALL)
+    mixed = keys
+    for turn in range(STARS):
+        members = with_class(mixed)
+        central = F.max(F.struct(F.col("support").alias("o"), "n", "c"))
+        leaders = members.groupBy("key").agg(central.alias("l"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+        members = stage(members.join(leaders.select("key", "l"), "key"), "neardup_members")
+        mixed = members.select("key", "n", "held", "support")
+        others = members.where("c != l.c").select("key", "n", "c", "held", F.col("l.n").alias("to"))
+        if turn:
+            # the central text has been met: another one leads those outside its class
+            chance = F.max(F.struct(F.xxhash64(F.lit(turn), "n").alias("o"), "n", "c"))
+            others = others.drop("to").join(others.groupBy("key").agg(chance.alias("l")), "key").where("c != l.c")
+            others = others.select("key", "n", "held", F.col("l.n").alias("to"))
+        stars = others.groupBy("n").agg(F.max_by("to", F.struct("held", "key")).alias("to"))
+        labels = relabel(_verified(stars.select(F.col("n").alias("a"), F.col("to").alias("b")), side, sets, df, n_docs))
+
+    def still_mixed(k: DataFrame) -> DataFrame:
+        k = with_class(k)
+        several = k.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
+        return stage(k.join(several, "key").select("key", "n", "c", "held"), "neardup_mixed")
+
+    mixed = still_mixed(mixed)
+    small = mixed.where(F.col("held") <= SMALL)
     other = small.select("key", F.col("n").alias("m"), F.col("c").alias("d"))
     cross = small.join(other, "key").where("n < m and c != d").select(F.col("n").alias("a"), F.col("m").alias("b"))
-    # of large ones, two members outside the central class lead the others
-    large = mixed.where(F.col("size") > SMALL)
-    heads = large.groupBy("key").agg(*best(F.col("c") != F.col("main")))
-    more_stars = large.join(heads, "key").select("n", "c", F.explode(F.array("l0", "l1")).alias("l")).where("c != l.c")
-    links.append(verified(cross.union(more_stars.select(F.col("n").alias("a"), F.col("l.n").alias("b")))))
-    labels = relabel()
+    labels = relabel(_verified(cross, side, sets, df, n_docs))
     # large buckets that are still mixed: every pair that can be similar
-    classed = with_class(large.select("key", "n"))
-    still = classed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("key")
-    rest = stage(classed.join(still, "key").select("n", "c").distinct(), "neardup_rest")
+    rest = still_mixed(mixed.where(F.col("held") > SMALL).select("key", "n", "held"))
+    rest = stage(rest.select("n", "c").distinct(), "neardup_rest")
     if not rest.isEmpty():
-        links.append(verified(prefix_pairs(sets.table, rest, df, n_docs)))
-        labels = relabel()
-    sets.drop()
-    whole = rows.select("n", "text_key").join(firsts, "text_key")
-    return whole.join(labels.select(F.col("n").alias("first"), "c"), "first", "left").select("n", F.coalesce("c", "first").alias("class"))
+        labels = relabel(_verified(prefix_pairs(sets.table, rest, df, n_docs), side, sets, df, n_docs, sampled=False))
+    return labels
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The first document of every class, with the columns of ``docs``."""
-    keep = stage(near_duplicates(docs).where("n = class").select(F.col("n").alias("__n")), "neardup_kept")
-    # the kept rows are as many as the documents: always a shuffle join
-    return docs.withColumn("__n", F.monotonically_increasing_id()).join(keep.hint("merge"), "__n", "left_semi").drop("__n")
+    rows = numbered(docs)
+    keep = stage(classes(rows.select("n", "doc.text")).where("n = class").select("n"), "neardup_kept")
+    # the kept rows are as many as the documents: a shuffle join, hashed on the
+    # side of the numbers, so that texts are not sorted
+    return rows.join(keep.hint("shuffle_hash"), "n", "left_semi").select("doc.*")
 
 
 def op3_weighted_minhash(spark, sf_dir: str) -> DataFrame:
     """One row per document: its class (least doc_id in it) and the class's size."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = stage(near_duplicates(docs), "neardup_classes")
-    ids = docs.select("doc_id", F.monotonically_increasing_id().alias("n"))
-    found = stage(ids.join(found, "n"), "neardup_ids")
-    classes = found.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return found.join(classes, "class").select("doc_id", "class_id", "class_size")
+    rows = numbered(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    found = classes(rows.select("n", "doc.text"))
+    found = stage(rows.select("n", "doc.doc_id").join(found, "n"), "neardup_ids")
+    groups = found.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return found.join(groups, "class").select("doc_id", "class_id", "class_size")

@@ -129,3 +129,47 @@ def test_near_pairs_inside_a_large_template_group(spark, make_docs, sf_of):
     rows = [(i, " ".join(t)) for i, t in texts.items()]
     got = {r["doc_id"]: r["class_id"] for r in op3_weighted_minhash(spark, sf_of(documents=make_docs(rows))).collect()}
     assert got == {i: i - 1500 if i >= 1500 else i for i in texts}
+
+
+def test_passages_repeated_many_times_are_linked(spark, make_docs, sf_of):
+    """A passage once and five hundred times: nearly the same set of shingles."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    rows = []
+    for i in range(40):
+        passage = " ".join(word() for _ in range(130))
+        rows += [(2 * i, passage), (2 * i + 1, " ".join([passage] * 500))]
+    got = {r["doc_id"]: r["class_id"] for r in op3_weighted_minhash(spark, sf_of(documents=make_docs(rows))).collect()}
+    assert got == {i: i - i % 2 for i in range(80)}
+
+
+def test_pairs_of_the_prefix_join_are_not_thinned_by_samples(spark):
+    """Sets in one bucket whose samples are made to disagree."""
+    rng = np.random.default_rng(4)
+    base = np.sort(rng.choice(2**31, 300, replace=False).astype("uint32"))
+    near = np.sort(np.concatenate([base[:-20], rng.choice(2**31, 20).astype("uint32") | np.uint32(1 << 31)]))
+    sets = spark.createDataFrame([(1, bytearray(base.tobytes())), (2, bytearray(near.tobytes()))], "n long, ids binary")
+    side = spark.createDataFrame([(1, 300.0, 300, [1] * 64), (2, 10.0, 300, [2] * 64)], "n long, total double, size long, sig array<tinyint>")
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    table = spark.sparkContext.broadcast(np.ones(neardup.DF_BUCKETS, "float32"))
+
+    class Held:
+        table = sets
+
+    assert neardup._verified(pairs, side, Held, table, 10).count() == 0
+    assert [tuple(r) for r in neardup._verified(pairs, side, Held, table, 10, sampled=False).collect()] == [(1, 2)]
+
+
+def test_a_text_meets_one_leader_a_round(spark, make_docs, monkeypatch):
+    """Pairs that are verified, in a group with very many shared buckets."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    base, rows = [word() for _ in range(150)], []
+    for i in range(400):
+        t = list(base)
+        t[rng.randrange(150)] = word()
+        rows.append((i, " ".join(t)))
+    seen, verified = [], neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *a, **k: seen.append(pairs.count()) or verified(pairs, *a, **k))
+    got = neardup.near_duplicates(make_docs(rows)).select("class").distinct().count()
+    assert got == 1 and seen[0] < 400 and sum(seen) < 1000, seen
