@@ -144,13 +144,15 @@ def fair_mix(
     )
 
 
-def document_sizes(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """(row, source, size, shuffle, doc_id) for fair_mix.  ``row`` numbers the
-    rows of the scan; ``shuffle`` depends on the id, the source and the text,
-    so reruns agree."""
+def document_sizes(docs: DataFrame, seed: int = 7, number: Column | None = None) -> DataFrame:
+    """(row, source, size, shuffle) for fair_mix, which writes them before it
+    uses them.  ``row`` holds the id and the row's ``number`` (if none is given,
+    its place in the scan); ``shuffle`` depends on the id, the source and the
+    text, so reruns agree."""
+    number = F.monotonically_increasing_id() if number is None else number
     return pick(
         docs,
-        row=F.struct(F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("n")),
+        row=F.struct(F.col("doc_id").alias("doc_id"), number.alias("n")),
         source="source",
         size=n_words("text"),
         shuffle=F.xxhash64(F.lit(seed), "doc_id", "source", "text"),
@@ -160,13 +162,15 @@ def document_sizes(docs: DataFrame, seed: int = 7) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it (0 to
     MAX_EPOCHS times), with the columns of ``docs``."""
-    cols = docs.columns
-    whole = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("doc")), "mix_docs")
-    numbered = whole.withColumn("n", F.monotonically_increasing_id())
-    sizes = document_sizes(whole.select("doc.*"))
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    # the number is written with the row, so every pass reads the same one
+    whole = stage(docs.select(F.monotonically_increasing_id().alias("n"), doc), "mix_docs")
+    fields = [F.col(f"doc.{c}").alias(c) for c in ("doc_id", "source", "text")]
+    sizes = document_sizes(whole.select(F.col("n").alias("number"), *fields), number=F.col("number"))
     mixed = fair_mix(sizes).where("copies > 0").select(F.col("row.n").alias("n"), "copies")
-    # as many rows as documents: always a shuffle join
-    out = numbered.join(mixed.hint("merge"), "n").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # as many rows as documents: a shuffle join, hashed on the narrow side, so
+    # that texts are not sorted
+    out = whole.join(mixed.hint("shuffle_hash"), "n").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select("doc.*")
 
 

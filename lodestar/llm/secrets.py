@@ -76,8 +76,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: str | None = None) -> DataFrame:
     """One row per document: doc_id, base (spans), live and examples (spans of
     base and added kinds, by the ownership of their values)."""
-    found = stage(scan(docs, owner, repository), "secret_spans")
-    found = found.withColumn("row", F.monotonically_increasing_id())
+    # the number is written with the row: both sides of the join below read it
+    found = stage(scan(docs, owner, repository).withColumn("row", F.monotonically_increasing_id()), "secret_spans")
     single = found.select(
         "row", "owner", "repository", F.explode(F.concat("base", "added")).alias("s")
     ).select("row", "owner", "repository", "s", F.col("s.hash").alias("hash"))
