@@ -18,27 +18,39 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+INFINITY = float("inf")
+
+
+def known(c: str | Column) -> Column:
+    """False for NaN, which Spark orders above every number, and null for null;
+    for numbers of any kind."""
+    return col_(c) <= F.lit(INFINITY)
+
+
 def no_nan(c: str | Column) -> Column:
-    """The value with NaN as null: Spark orders NaN above every number, pandas
-    compares it False.  The text form tells NaN in a column of any type."""
+    """The number with NaN as null: pandas holds both for missing."""
     c = col_(c)
-    return F.when(c.cast("string") != F.lit("NaN"), c)
+    return F.when(known(c), c)
 
 
+# The filters are plain conjunctions of comparisons, so that each bound reaches
+# the scan; ``is not null`` makes a null false instead of null.
 def between_exclusive(c, lo, hi) -> Column:
-    """``lo < c < hi``; null and NaN never pass (pandas NaN compares False)."""
-    c = no_nan(c)
-    return F.coalesce((c > F.lit(lo)) & (c < F.lit(hi)), F.lit(False))
+    """``lo < c < hi``; null and NaN never pass (NaN is above ``hi``)."""
+    c = col_(c)
+    return c.isNotNull() & (c > F.lit(lo)) & (c < F.lit(hi))
 
 
 def between_inclusive(c, lo, hi) -> Column:
-    """P5: ``Series.between(lo, hi)``; null never passes."""
-    return F.coalesce(no_nan(c).between(lo, hi), F.lit(False))
+    """P5: ``Series.between(lo, hi)``; null and NaN never pass."""
+    c = col_(c)
+    return c.isNotNull() & (c >= F.lit(lo)) & (c <= F.lit(hi))
 
 
 def positive(c) -> Column:
-    """``c > 0`` with null and NaN -> False."""
-    return F.coalesce(no_nan(c) > F.lit(0), F.lit(False))
+    """``c > 0``; null and NaN never pass."""
+    c = col_(c)
+    return c.isNotNull() & (c > F.lit(0)) & known(c)
 
 
 def isin_flag(c, values: Iterable) -> Column:
@@ -47,18 +59,19 @@ def isin_flag(c, values: Iterable) -> Column:
 
 
 def threshold_flag(c, threshold, op: str = ">=") -> Column:
-    """Comparison -> 0/1; a null or NaN comparison is 0 like pandas."""
-    c = no_nan(c)
-    t = no_nan(threshold) if isinstance(threshold, Column) else F.lit(threshold)
+    """Comparison of numbers -> 0/1; with a null or NaN it is 0 like pandas."""
+    c, t = col_(c), threshold if isinstance(threshold, Column) else F.lit(threshold)
     cmp = {">=": c >= t, ">": c > t, "<=": c <= t, "<": c < t}[op]
-    return F.coalesce(cmp, F.lit(False)).cast("int")
+    # NaN would win against any number on the larger side
+    larger = c if op in (">=", ">") else t
+    return F.coalesce(cmp & known(larger), F.lit(False)).cast("int")
 
 
 def clip(c, lo, hi) -> Column:
-    """P10: pandas ``clip`` keeps nulls; ``greatest``/``least`` would skip
-    them, so the null case is explicit."""
-    c = no_nan(c)
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
+    """P10: pandas ``clip`` keeps missing values; ``greatest``/``least`` would
+    skip them, so the case is explicit."""
+    c = col_(c)
+    return F.when(known(c), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
 def bucket(c, cuts: list[tuple[float, str]], default: str) -> Column:
@@ -153,8 +166,11 @@ def stripped(c: Column) -> Column:
 
 
 def to_number(c) -> Column:
-    """P20: ``to_numeric(errors="coerce")``: bad text and ``nan`` -> null."""
-    return no_nan(stripped(col_(c).cast("string")).try_cast("double"))
+    """P20: ``to_numeric(errors="coerce")``: bad text and ``nan`` -> null.  The
+    kind of the column is a constant of the plan, so a number is only cast."""
+    c = col_(c)
+    number = F.typeof(c).isin("tinyint", "smallint", "int", "bigint", "double")
+    return no_nan(F.when(number, c.try_cast("double")).otherwise(stripped(c.cast("string")).try_cast("double")))
 
 
 def boolish(c, unknown_as_zero: bool = False) -> Column:
@@ -183,11 +199,6 @@ def lookup(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_val: str,
     return joined.withColumn(out, F.coalesce(F.col("_lv"), fb)).drop("_lk", "_lv")
 
 
-def round_metric(c, digits: int = 4) -> Column:
-    """P24."""
-    return F.round(col_(c).cast("double"), digits)
-
-
 def display_label(c, labels: Mapping[int, str]) -> Column:
     """P25: 0/1 -> display text."""
     c = col_(c)

@@ -1,6 +1,6 @@
 """Model queries: ``(spark, sf_dir) -> DataFrame`` jobs that fit models
 (SMOTE, the classifier panel, importances, cross-validation, tuning,
-bundles, stream scoring).  They read the driver's tables like every other
+bundles).  They read the driver's tables like every other
 query; their outputs depend on fitted models, so they have no SQL oracle
 and are checked by invariant tests.
 """
@@ -12,12 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.models.families import PROFILES
-from lodestar.models.panel import cross_validate, prepare, retrain_until, train_panel
+from lodestar.models import metrics as M
+from lodestar.models.families import LABEL, PROFILES
+from lodestar.models.panel import cross_validate_all, prepare, retrain_until, train_panel
 from lodestar.models.score import batch_score, load_bundle, make_bundle, save_bundle, top_importances
 from lodestar.operators import rank as R
 from lodestar.operators.neighbors import smote
-from lodestar.operators.select import rf_importance
+from lodestar.operators.select import importance_table, rf_importance
 from lodestar.plans.catalog import ORACLE_SQL
 from lodestar.plans.features import churn_features, market_position_single
 from lodestar.session import checkpoint_root, stage
@@ -55,19 +56,23 @@ def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def model_panel_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The market task's families and settings on the market-position rows."""
     rows = _market_rows(spark, sf_dir)
     scores, _, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
     return R.rank_models(scores, "f1", within=[], tie=["model"])
 
 
+def _balanced(train: DataFrame) -> DataFrame:
+    return smote(train, "label", CHURN_FEATURES, k=5, seed=42)
+
+
 def churn_smote_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The churn task as in the reference: SMOTE-balanced, then the panel."""
-    bal = stage(smote(_churn(spark, sf_dir), "churned", CHURN_FEATURES, k=5, seed=42), "churn_balanced")
-    bal = bal.withColumn("_row", F.monotonically_increasing_id())
-    bal = stage(bal, "churn_balanced_keyed")
-    scores, _, _ = train_panel(bal, "churned", CHURN_FEATURES, profile="churn", key_cols=["_row"])
+    """The churn task: the panel, its training rows balanced by SMOTE (never the
+    test rows)."""
+    scores, _, _ = train_panel(
+        _churn(spark, sf_dir), "churned", CHURN_FEATURES, profile="churn", key_cols=["customer_id"], balance=_balanced
+    )
     return scores
 
 
@@ -88,8 +93,8 @@ def cross_validated_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows (the reference cross-validates on the whole scaled table)."""
     prep = prepare(_churn(spark, sf_dir), "churned", CHURN_FEATURES, key_cols=["customer_id"], fit_scope="all")
     rows = prep.train.unionByName(prep.test)
-    f1s = [(name, float(cross_validate(rows, name, profile="churn", folds=5))) for name in PROFILES["churn"].families]
-    return spark.createDataFrame(f1s, "model string, cv_f1 double")
+    f1s = cross_validate_all(rows, PROFILES["churn"].families, profile="churn", folds=5)
+    return spark.createDataFrame([(name, float(f1)) for name, f1 in f1s.items()], "model string, cv_f1 double")
 
 
 def retrain_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,18 +126,27 @@ def bundle_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_importances(spark, bundle, k=5)
 
 
-def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M19 on Structured Streaming: the churn rows are written as a file
-    stream source, scored incrementally, and the scored files read back."""
-    from lodestar.streaming.scoring import score_stream
+def panel_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2 x 2 confusion counts of every trained market family."""
+    rows = _market_rows(spark, sf_dir)
+    _, _, prep = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
+    return M.confusion_matrix(prep.predictions, LABEL, "prediction", by=["model"])
 
-    churn = _churn(spark, sf_dir)
-    _, fitted, prep = train_panel(churn, "churned", CHURN_FEATURES, families=["LogisticRegression"], key_cols=["customer_id"])
-    bundle = make_bundle(fitted["LogisticRegression"], "LogisticRegression", CHURN_FEATURES, churn, prep.bounds)
-    root = f"{checkpoint_root(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    churn.repartition(4).write.parquet(f"{root}/in")
-    score_stream(spark, f"{root}/in", churn.schema, bundle, f"{root}/out", keep=["customer_id", "churned"])
-    return spark.read.parquet(f"{root}/out")
+
+def panel_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC points of every trained market family."""
+    rows = _market_rows(spark, sf_dir)
+    _, _, prep = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
+    return M.roc_points(prep.predictions, LABEL, "score", by=["model"])
+
+
+def panel_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked importances of every trained market family that has any."""
+    rows = _market_rows(spark, sf_dir)
+    _, fitted, _ = train_panel(rows, "above_market", MARKET_FEATURES, profile="market", key_cols=["o_orderkey"])
+    with_any = {n: m.importances for n, m in fitted.items() if m.importances is not None}
+    tables = {n: importance_table(spark, MARKET_FEATURES, v) for n, v in with_any.items()}
+    return R.tag_and_union(tables, "model")
 
 
 def pairplot_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +179,7 @@ def agent_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     imp = rf_importance(table, "churn", candidates, trees=100)
     pairs = corr_pairs(table, candidates + ["churn"], digits=2)
     kept = [r["feature"] for r in prune_correlated(pairs, imp).orderBy("rank").collect()]  # schema-sized list
-    scores, _, _ = train_panel(table, "churn", kept or candidates, profile="agent", key_cols=["doc_id"])
+    scores, _, _ = train_panel(table, "churn", kept or candidates, profile="agent", key_cols=["doc_id"], cv_folds=5)
     mean = (F.col("f1") + F.col("roc_auc")) / 2
     return R.rank_models(scores.withColumn("f1_auc_mean", mean), "f1_auc_mean", within=[], tie=["model"]).withColumn(
         "features", F.lit(",".join(kept))
@@ -176,7 +190,7 @@ MODEL_QUERIES = {
     "pairplot_sample": pairplot_sample,
     "agent_pipeline": agent_pipeline,
     "smote_balance": smote_balance,
-    "model_panel_fast": model_panel_fast,
+    "market_panel": market_panel,
     "churn_smote_panel": churn_smote_panel,
     "panel_best_model": panel_best_model,
     "feature_importance": feature_importance,
@@ -184,7 +198,9 @@ MODEL_QUERIES = {
     "retrain_history": retrain_history,
     "batch_scores": batch_scores,
     "bundle_importances": bundle_importances,
-    "stream_scores": stream_scores,
+    "panel_confusion": panel_confusion,
+    "panel_roc_points": panel_roc_points,
+    "panel_importances": panel_importances,
 }
 
 # Class sizes after oversampling have an exact form: every class reaches the

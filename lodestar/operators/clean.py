@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.exprs import trim_strings
 from lodestar.operators.encode import apply_labels, fit_labels
 from lodestar.operators.order_stats import attach_row, column_medians_dict, global_quantile_col
-from lodestar.operators.profile import _known, distinct_counts, modes, non_null_counts, numeric_columns, string_columns, stddevs
+from lodestar.operators.profile import _known, modes, non_null_counts, numeric_columns, stddevs, string_columns, two_valued
 from lodestar.session import stage
 from lodestar.sources.io import model_safe_name, table_registry
 
@@ -77,11 +77,7 @@ def infer_target(df: DataFrame, candidates: Sequence[str] = TARGET_CANDIDATES) -
     for cand in candidates:
         if cand in lower:
             return lower[cand]
-    nd = {r["column"]: r["n_distinct"] for r in distinct_counts(df).collect()}
-    for c in reversed(df.columns):
-        if nd.get(c, 0) == 2:
-            return c
-    return df.columns[-1]
+    return (two_valued(df) or df.columns)[-1]
 
 
 def binarize_target(df: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:

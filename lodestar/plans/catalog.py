@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.plans import evaluation as E
 from lodestar.plans import features as Fe
 from lodestar.plans import reports as Rp
+from lodestar.plans.tasks import TASK_ORACLE_SQL, TASK_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -608,6 +609,8 @@ QUERIES: dict[str, Query] = {
     "score_cards": E.score_cards,
     "metric_long": E.metric_long,
     "f1_pivot": E.f1_pivot,
+    # feature tables on their own columns
+    **TASK_QUERIES,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -653,4 +656,5 @@ ORACLE_SQL: dict[str, str] = {
     "score_cards": SQL_SCORE_CARDS,
     "metric_long": SQL_METRIC_LONG,
     "f1_pivot": SQL_F1_PIVOT,
+    **TASK_ORACLE_SQL,
 }

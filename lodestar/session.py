@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,14 +96,45 @@ def checkpoint_root(spark: SparkSession) -> str:
     return path
 
 
+# Folders of the open scopes, innermost last; ``stage`` writes into that one.
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A scope that owns what is staged in it.  Its folder is removed when the
+    block ends, so write the result inside the block::
+
+        with staging(spark):
+            query(spark, tables).write.parquet(target)
+
+    Scopes nest; jobs of one scope may run in threads, but scopes of unrelated
+    jobs must not overlap."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/lodestar/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(path)
+    try:
+        yield path
+    finally:
+        _SCOPES.remove(path)
+        remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever storage holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """Write ``df`` as parquet under the checkpoint root and read it back.
+    """Write ``df`` as parquet under the checkpoint root (in the open scope's
+    folder, if there is one) and read it back.
 
     Cuts lineage (a lost executor re-reads the written files instead of
     recomputing a shuffle chain) and pins non-deterministic columns such as
     partition ids.  One write pass, columnar, with pushdown on re-read."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/lodestar/{tag}-{uuid.uuid4().hex}"
+    root = _SCOPES[-1] if _SCOPES else f"{checkpoint_root(spark).rstrip('/')}/lodestar"
+    path = f"{root}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from lodestar.functions import exprs as X
 
 
@@ -19,6 +21,37 @@ def test_filters_treat_null_as_false(spark):
     assert _one(spark, X.threshold_flag("v", 10.0, ">="), "v double", rows) == [0, 0, 1]
 
 
+def test_nan_is_missing_on_either_side(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(nan,), (None,), (inf,), (-inf,), (0.0,), (3.0,)]
+    assert _one(spark, X.between_exclusive("v", 1, 10), "v double", rows) == [False, False, False, False, False, True]
+    assert _one(spark, X.between_inclusive("v", 0, inf), "v double", rows) == [False, False, True, False, True, True]
+    assert _one(spark, X.positive("v"), "v double", rows) == [False, False, True, False, False, True]
+    assert _one(spark, X.threshold_flag("v", 3, ">="), "v double", rows) == [0, 0, 1, 0, 0, 1]
+    assert _one(spark, X.threshold_flag("v", 3, "<"), "v double", rows) == [0, 0, 0, 1, 1, 0]
+    pairs = [(1.0, nan), (nan, 1.0), (nan, nan), (2.0, 1.0), (None, 1.0)]
+    for op, want in ((">", [0, 0, 0, 1, 0]), ("<=", [0, 0, 0, 0, 0])):
+        assert _one(spark, X.threshold_flag("v", F.col("t"), op), "v double, t double", pairs) == want
+    assert _one(spark, X.clip("v", 0, 5), "v double", rows) == [None, None, 5.0, 0.0, 0.0, 3.0]
+    assert _one(spark, X.to_number("v"), "v double", rows) == [None, None, inf, -inf, 0.0, 3.0]
+    assert _one(spark, X.to_number("v"), "v int", [(3,), (None,)]) == [3.0, None]
+    assert _one(spark, X.to_number("v"), "v string", [(" NaN",), ("1e3\t",), ("",)]) == [None, 1000.0, None]
+
+
+def test_both_bounds_reach_the_scan(spark, scratch_dir):
+    path = f"{scratch_dir}/bounds"
+    spark.range(100).select(F.col("id").cast("double").alias("v"), "id").write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path)
+
+    def pushed(condition):
+        plan = df.where(condition)._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: [")[1].split("]")[0]
+
+    assert all(x in pushed(X.between_exclusive("v", 10, 50)) for x in ("GreaterThan(v,10.0)", "LessThan(v,50.0)", "IsNotNull(v)"))
+    assert all(x in pushed(X.between_inclusive("v", 10, 50)) for x in ("GreaterThanOrEqual(v,10.0)", "LessThanOrEqual(v,50.0)"))
+    assert "GreaterThan(id,0)" in pushed(X.positive("id"))
+
+
 def test_bucket(spark):
     got = _one(spark, X.bucket("p", [(500000, "urban"), (100000, "suburban")], "rural"), "p double",
                [(None,), (99999.0,), (100000.0,), (600000.0,)])

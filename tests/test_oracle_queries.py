@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
-from oracle import compare, duck
+from oracle import SF_SMALL, compare, duck
 
 ORACLE = entry.oracle_sql()
 QUERIES = entry.queries()
