@@ -542,6 +542,30 @@ SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS acctbal_sum, max
 FROM customer GROUP BY c_mktsegment
 """
 
+SQL_CSV_HARD = f"SELECT doc_id, lang, md5(nullif({Rp.HARD_TEXT}, 'NA')) AS digest FROM documents"
+
+_PN = [*Rp.LINE_FEATURES, *Rp.DERIVED]
+SQL_PRUNED_CORRELATED = (
+    f"WITH li AS (SELECT {', '.join(Rp.LINE_FEATURES)}, {', '.join(f'{e} AS {c}' for c, e in Rp.DERIVED.items())}, "
+    "CAST(l_returnflag = 'R' AS INTEGER) AS returned FROM lineitem),\npairs AS (\n"
+    + "\nUNION ALL\n".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM li" for i, a in enumerate(_PN) for b in _PN[i + 1 :])
+    + "),\nimp AS (\n"
+    + "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, round(abs(corr({c}, returned)), 6) AS importance FROM li" for c in _PN)
+    + """),
+losers AS (SELECT DISTINCT CASE WHEN ia.importance < ib.importance THEN p.a ELSE p.b END AS feature
+           FROM pairs p JOIN imp ia ON p.a = ia.feature JOIN imp ib ON p.b = ib.feature WHERE abs(p.r) > 0.95),
+kept AS (SELECT * FROM imp WHERE importance > 0.0 AND feature NOT IN (SELECT feature FROM losers))
+SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM kept"""
+)
+
+# the largest table is lineitem; its last column with two values is the target
+SQL_ML_READY_ALL = """
+SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  CAST(dense_rank() OVER (ORDER BY l_returnflag) - 1 AS INTEGER) AS l_returnflag,
+  CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS INTEGER) AS churn, l_shipdate
+FROM lineitem
+"""
+
 SQL_CATALOG_LOAD = "\nUNION ALL\n".join(
     f"SELECT 'raw_{t}_data' AS \"table\", count(*) AS rows, CAST({_TABLE_COLS[t]} AS BIGINT) AS n_cols, count(*) AS scanned FROM {t}"
     for t in Rp.LOADED
@@ -590,6 +614,9 @@ QUERIES: dict[str, Query] = {
     "tagged_scan": Rp.tagged_scan,
     "candidate_manifest": Rp.candidate_manifest,
     "csv_roundtrip": Rp.csv_roundtrip,
+    "csv_hard_roundtrip": Rp.csv_hard_roundtrip,
+    "pruned_correlated_features": Rp.pruned_correlated_features,
+    "generic_ml_ready_all": Fe.generic_ml_ready_all,
     "catalog_load": Rp.catalog_load,
     "label_lists_json": Rp.label_lists_json,
     "describe_lineitem": Rp.describe_lineitem,
@@ -639,6 +666,9 @@ ORACLE_SQL: dict[str, str] = {
     "tagged_scan": SQL_TAGGED_SCAN,
     "candidate_manifest": SQL_CANDIDATES,
     "csv_roundtrip": SQL_CSV_ROUNDTRIP,
+    "csv_hard_roundtrip": SQL_CSV_HARD,
+    "pruned_correlated_features": SQL_PRUNED_CORRELATED,
+    "generic_ml_ready_all": SQL_ML_READY_ALL,
     "catalog_load": SQL_CATALOG_LOAD,
     "label_lists_json": SQL_LABEL_LISTS,
     "describe_lineitem": SQL_DESCRIBE,

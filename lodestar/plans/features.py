@@ -358,3 +358,13 @@ def generic_ml_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     df, _ = ml_ready(ml_ready_tables(spark, sf_dir))
     return df
+
+
+def generic_ml_ready_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 over all tables of the catalog, every column: all are cleaned, and the
+    largest one is encoded."""
+    from lodestar.operators.clean import ml_ready
+    from lodestar.sources.io import TABLES
+
+    df, _ = ml_ready({name: _t(spark, sf_dir, name) for name in TABLES})
+    return df

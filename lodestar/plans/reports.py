@@ -138,6 +138,19 @@ def pruned_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prune_correlated(pairs, importance, threshold=0.95, min_importance=0.001)
 
 
+DERIVED = {"net_price": "l_extendedprice * (1 - l_discount)", "gross_price": "l_extendedprice * (1 - l_discount) * (1 + l_tax)", "half_quantity": "l_quantity / 2"}
+
+
+def pruned_correlated_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 where it prunes: prices derived from one another are correlated above
+    0.95, and only the most important of them stays."""
+    li = _t(spark, sf_dir, "lineitem").selectExpr(*LINE_FEATURES, *[f"{e} as {c}" for c, e in DERIVED.items()], "cast(l_returnflag = 'R' as int) as returned")
+    names = [*LINE_FEATURES, *DERIVED]
+    pairs = P.corr_pairs(li, [*names, "returned"], digits=6)
+    importance = pairs.where("b = 'returned'").select(F.col("a").alias("feature"), F.abs("r").alias("importance"))
+    return prune_correlated(pairs, importance, threshold=0.95, min_importance=0.0)
+
+
 # ----------------------------------------------------------------- sources round trips
 def _scratch(spark: SparkSession, tag: str) -> str:
     import uuid
@@ -159,6 +172,20 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# texts that a CSV file has to quote, and one that reads as missing
+HARD_TEXT = """case doc_id % 5 when 0 then 'NA' when 1 then concat('say "', source, '", twice') when 2 then concat('one', chr(10), 'two, ', source)
+when 3 then concat('  ', source, '  ') else text end"""
+
+
+def csv_hard_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes, commas, line breaks, blanks, whole texts and an NA token
+    through the CSV sink and scan; digests of what comes back."""
+    path = _scratch(spark, "csv")
+    io.write_table(_t(spark, sf_dir, "documents").selectExpr("doc_id", "lang", f"{HARD_TEXT} as hard"), path, fmt="csv")
+    back = io.read_csv(spark, path, schema="doc_id long, lang string, hard string")
+    return back.select("doc_id", "lang", F.md5(F.col("hard").cast("binary")).alias("digest"))
+
+
 LOADED = ["nation", "region", "supplier"]
 
 
@@ -184,10 +211,9 @@ def label_lists_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted label lists written as JSON and read back."""
     path = _scratch(spark, "labels-json")
     d = fit_labels(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
-    lists = d.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("code", "label"))).alias("entries"))
-    lists.write.mode("overwrite").json(path)
-    back = spark.read.json(path)
-    return back.select("column", F.explode("entries").alias("e")).select("column", F.col("e.label").alias("label"), F.col("e.code").cast("int").alias("code"))
+    # a JSON row per label, in order: no list of all labels is built anywhere
+    d.repartitionByRange("column", "code").sortWithinPartitions("column", "code").write.mode("overwrite").json(path)
+    return spark.read.schema("column string, label string, code int").json(path)
 
 
 def describe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,15 +55,19 @@ def read_csv(
     encoding: str = "UTF-8",
     header: bool = True,
     corrupt_col: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """S1/S2 CSV scan with pandas' reading rules: a doubled quote inside a
     quoted field is a quote, quoted fields may hold line breaks, and the NA
     tokens are null whatever the column.  Columns are read as text, missing
     tokens are removed, then types are given: by ``schema``, or inferred in
     one pass over all rows (long, double, boolean, else text).  With
-    ``corrupt_col`` the raw text of rows that do not parse is kept there."""
+    ``corrupt_col`` the raw text of rows that do not parse is kept there.
+
+    Quoted line breaks make a file one task; a file known to hold none is read
+    with ``multi_line=False`` and split over many."""
     reader = spark.read.option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE")
-    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     paths = path if isinstance(path, str) else list(path)
     text = reader.csv(paths)
     if corrupt_col:
@@ -141,9 +145,8 @@ def _tagged_csv(spark: SparkSession, paths: list[str], tag_col: str, pattern: st
     # text first: types are given to all files together
     given = {k: v for k, v in options.items() if k.lower() not in ("inferschema", "header")}
     csv = {"quote": '"', "escape": '"', "multiLine": "true", **given}
-    # the header is the first row of each file: one short row per file
-    lines = spark.read.options(**{**csv, "header": "false"}).csv(paths)
-    files = {r["f"] for r in lines.select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    # the files are listed, not read; then the header, one short row per file
+    files = set(spark.read.text(paths).inputFiles())
     groups: dict[tuple[str, ...], list[str]] = {}
     for f in sorted(files):
         groups.setdefault(tuple(spark.read.options(**{**csv, "header": "true"}).csv(f).columns), []).append(f)
@@ -206,6 +209,7 @@ def load_tables(
     database: str = "default",
     mode: str = "overwrite",
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame:
     """Load many files as catalog tables; one failing file does not
     stop the others.  Returns one registry row per file (table, source, rows,
@@ -222,7 +226,7 @@ def load_tables(
     names = table_names(list(sources.values()))
     for src_path, name in names.items():
         try:
-            df = read_csv(spark, src_path) if fmt == "csv" else spark.read.format(fmt).load(src_path)
+            df = read_csv(spark, src_path, multi_line=multi_line) if fmt == "csv" else spark.read.format(fmt).load(src_path)
             df = nan_to_null(sanitize_columns(df))
             location = f"{root}/{database}.db/{name}"
             df.write.mode(mode).format("parquet").option("path", location).saveAsTable(f"{database}.{name}")
@@ -263,10 +267,12 @@ def largest_table(registry: DataFrame) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=None, **options: str
 ) -> None:
-    """S10/S11 sinks: parquet (default), csv or json, optionally partitioned."""
-    w = df.write.mode(mode).format(fmt).options(**options)
+    """S10/S11 sinks: parquet (default), csv or json, optionally partitioned.
+    CSV is written by pandas' rules: a quote is doubled, blanks stay."""
+    w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="")
+    w = w.options(**options)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
