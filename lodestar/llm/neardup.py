@@ -25,8 +25,10 @@ fewest edits), later one by hash outside that text's class; links are
 contracted to classes before the next round.  Buckets that then still hold
 several classes and at most ``SMALL`` texts compare the texts of different
 classes.  Larger ones are finished by an exact join on the rarest shingles
-(``prefix_pairs``), so no pair of a bucket is left out.  Equal texts are one
-member from the start.
+(``prefix_pairs``), so no pair of a bucket is left out.  Both joins carry parity
+bits: two sets differ in at least as many shingles as their parities differ in
+bits, so a pair that differs in too many bits cannot be similar and never
+becomes a row.  Equal texts are one member from the start.
 
 Rows are numbered once, in a written copy of the table; every pass reads that,
 so the numbers hold whatever executors run it and however files are dealt to
@@ -58,6 +60,7 @@ DF_BUCKETS = 1 << 18
 AGREE = 0.5  # share of equal samples below which a pair is not verified
 SMALL = 64
 STARS = 3  # rounds of one meeting a text
+PARITY = 16  # words of 64 parity bits
 SPREAD = 1024  # rows of one shingle on the probing side of a join partition
 MARKS = 1 << 21
 CHUNK = 1 << 17  # shingles handled together
@@ -92,10 +95,30 @@ def runs_of(ids):
 def weights(ids, tf, df, n_docs: int):
     import numpy as np
 
-    seen = np.maximum(df[ids & np.uint32(DF_BUCKETS - 1)], 1)
+    seen = np.clip(df[ids & np.uint32(DF_BUCKETS - 1)], 1, max(n_docs, 1))
     return (1 + DAMP * (1 - 1 / tf)) * (1 - DAMP * np.log(seen) / np.log(max(n_docs, 2)).clip(min=0.7))
 
 
+def parity(ids):
+    """For each of 64 * PARITY cells of the id space whether it holds an odd
+    number of the distinct ids, as 64-bit words."""
+    import numpy as np
+
+    cell = (ids.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (64 * PARITY - 1).bit_length())
+    odd = np.bincount(cell.astype("int64"), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype("uint8")).view("int64")
+
+
+def may_be_similar(x, y):
+    """Whether two texts, given as columns by name, can reach ``THRESHOLD``:
+    sets of sizes a, b with similarity t differ in (1 - t) / (1 + t) (a + b)
+    members at most, and a member weighs at least 1 - DAMP."""
+    differ = sum((F.bit_count(x("parity")[i].bitwiseXOR(y("parity")[i])) for i in range(PARITY)), F.lit(0))
+    share = (1 - THRESHOLD) / (1 + THRESHOLD)
+    weighed = (x("total") + y("total")) * (share / (1 - DAMP))
+    return differ <= F.greatest((x("size") + y("size")) * share, weighed) + 1e-3
+
+
 def gamma_tables():
     """Quantiles of Gamma(2, 1) and their logarithms at 65,536 levels."""
     import numpy as np
@@ -171,9 +194,9 @@ def document_frequencies(docs: DataFrame):
 
 
 def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
-    """(n, text_key, total, size, sig, bands) per document: the sum of its
-    weights, its distinct shingles, samples and bands; texts without words have
-    no bands."""
+    """(n, text_key, total, size, sig, bands, parity) per document: the sum of
+    its weights, its distinct shingles, samples, bands and parity bits; texts
+    without words have no bands."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -197,7 +220,8 @@ def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
         for batch in batches:
             col = batch.column(2)
             values, at = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
-            bands, sigs, totals, sizes = [None] * len(batch), [None] * len(batch), [0.0] * len(batch), [0] * len(batch)
+            bands, sigs, odd = ([None] * len(batch) for _ in range(3))
+            totals, sizes = [0.0] * len(batch), [0] * len(batch)
             waiting, rows, size = [], [], 0
             for i in range(len(batch) + 1):
                 if waiting and (i == len(batch) or size >= CHUNK):
@@ -207,16 +231,18 @@ def sketches(docs: DataFrame, df, n_docs: int) -> DataFrame:
                     waiting, rows, size = [], [], 0
                 if i < len(batch) and at[i + 1] > at[i]:
                     ids, tf = runs_of(shingle_ids(values[at[i] : at[i + 1]]))
+                    odd[i] = parity(ids)
                     waiting.append((ids, weights(ids, tf, table, n_docs)))
                     rows.append(i)
                     size += len(ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(totals), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int8())), pa.array(bands, pa.list_(pa.int64()))],
-                names=["n", "text_key", "total", "size", "sig", "bands"],
+                [batch.column(0), batch.column(1), pa.array(totals), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int8())),
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
+                names=["n", "text_key", "total", "size", "sig", "bands", "parity"],
             )
 
     h = _hashed_words(docs).select("n", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("text_key"), "h")
-    return h.mapInArrow(run, "n long, text_key string, total double, size long, sig array<tinyint>, bands array<bigint>")
+    return h.mapInArrow(run, "n long, text_key string, total double, size long, sig array<tinyint>, bands array<bigint>, parity array<bigint>")
 
 
 def similarity(a, b, df, n_docs: int) -> float:
@@ -284,8 +310,10 @@ def prefix_pairs(sets: DataFrame, rest: DataFrame, df, n_docs: int) -> DataFrame
         waiting, held = [], 0
 
         def flush():
-            cols = [np.concatenate([w[i] for w in waiting]).astype(t) for i, t in enumerate(kinds.values())]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=list(kinds))
+            cols = [pa.array(np.concatenate([w[i] for w in waiting]).astype(t)) for i, t in enumerate(kinds.values())]
+            odd = np.concatenate([np.tile(w[-1], len(w[0])) for w in waiting])
+            odd = pa.ListArray.from_arrays(pa.array(np.arange(0, len(odd) + 1, PARITY), pa.int32()), pa.array(odd))
+            return pa.RecordBatch.from_arrays([*cols, odd], names=[*kinds, "parity"])
 
         for batch in batches:
             for n, c, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -298,7 +326,7 @@ def prefix_pairs(sets: DataFrame, rest: DataFrame, df, n_docs: int) -> DataFrame
                 probe = int(((to_come >= least * total) | (many >= least * size)).sum())
                 head = (to_come >= first * total) | (many >= first * size)
                 full = lambda x: np.full(probe, x)
-                waiting.append((full(n), full(c), ids[order][:probe].view("int32"), full(total), full(size), to_come[:probe], many[:probe], head[:probe]))
+                waiting.append((full(n), full(c), ids[order][:probe].view("int32"), full(total), full(size), to_come[:probe], many[:probe], head[:probe], parity(ids)))
                 held += probe
                 if held >= CHUNK:
                     yield flush()
@@ -306,7 +334,7 @@ def prefix_pairs(sets: DataFrame, rest: DataFrame, df, n_docs: int) -> DataFrame
         if waiting:
             yield flush()
 
-    kinds = "n long, c long, token int, total double, size int, to_come double, many int, head boolean"
+    kinds = "n long, c long, token int, total double, size int, to_come double, many int, head boolean, parity array<bigint>"
     found = stage(rest.join(sets, "n").select("n", "c", "ids").mapInArrow(run, kinds), "neardup_prefixes")
     tokens = found.groupBy("token").agg(F.count("*").alias("held"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
     tokens = tokens.select("token", F.ceil(F.col("held") / SPREAD).alias("parts"))
@@ -319,7 +347,9 @@ def prefix_pairs(sets: DataFrame, rest: DataFrame, df, n_docs: int) -> DataFrame
         return (a <= b * (1 + 1e-9)) & (a >= b * (THRESHOLD - 1e-6)) & (near >= (a + b) * (THRESHOLD / (1 + THRESHOLD) - 1e-6))
 
     on = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") != F.col("y.c"))
-    return x.join(y, on & (fits("total", "to_come") | fits("size", "many"))).select(F.col("x.n").alias("a"), F.col("y.n").alias("b"))
+    close = may_be_similar(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+    pairs = x.join(y, on & (fits("total", "to_come") | fits("size", "many")) & close)
+    return pairs.select(F.col("x.n").alias("a"), F.col("y.n").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -361,7 +391,7 @@ def classes(d: DataFrame) -> DataFrame:
     rows = stage(sketches(d, df, n_docs), "neardup_rows")
     firsts = stage(rows.groupBy("text_key").agg(F.min("n").alias("first")), "neardup_firsts")
     texts = rows.join(firsts.select(F.col("first").alias("n")), "n", "left_semi")
-    sketch = stage(texts.where("bands is not null").select("n", "total", "size", "sig", "bands"), "neardup_texts")
+    sketch = stage(texts.where("bands is not null").select("n", "total", "size", "sig", "bands", "parity"), "neardup_texts")
     keys = sketch.select("n", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     keys = stage(keys.join(sizes, "key").select("key", "n", "held"), "neardup_shared")
@@ -370,7 +400,7 @@ def classes(d: DataFrame) -> DataFrame:
     keys = stage(keys.join(support, "n"), "neardup_keys")
     sets = _Sets(d, keys.select("n").distinct())
     try:
-        labels = _linked(sketch.select("n", "total", "size", "sig"), keys, sets, df, n_docs)
+        labels = _linked(sketch.drop("bands"), keys, sets, df, n_docs)
     finally:
         sets.drop()
     whole = rows.select("n", "text_key").join(firsts, "text_key")
@@ -418,6 +448,8 @@ def _linked(side: DataFrame, keys: DataFrame, sets: _Sets, df, n_docs: int) -> D
 
     def relabel(new: DataFrame) -> DataFrame:
         """Classes of all links: the classes so far, as stars, and new links."""
+        if labels is not None and new.isEmpty():
+            return labels
         return components(new if labels is None else new.union(labels.select(F.col("n").alias("a"), F.col("c").alias("b"))))
 
     def with_class(k: DataFrame) -> DataFrame:
@@ -447,9 +479,12 @@ def _linked(side: DataFrame, keys: DataFrame, sets: _Sets, df, n_docs: int) -> D
         return stage(k.join(several, "key").select("key", "n", "c", "held"), "neardup_mixed")
 
     mixed = still_mixed(mixed)
-    small = mixed.where(F.col("held") <= SMALL)
-    other = small.select("key", F.col("n").alias("m"), F.col("c").alias("d"))
-    cross = small.join(other, "key").where("n < m and c != d").select(F.col("n").alias("a"), F.col("m").alias("b"))
+    small = mixed.where(F.col("held") <= SMALL).join(side.drop("sig"), "n")
+    small = stage(small, "neardup_small")
+    x, y = small.alias("x"), small.alias("y")
+    close = may_be_similar(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.n") < F.col("y.n")) & (F.col("x.c") != F.col("y.c")) & close)
+    cross = cross.select(F.col("x.n").alias("a"), F.col("y.n").alias("b"))
     labels = relabel(_verified(cross, side, sets, df, n_docs))
     # large buckets that are still mixed: every pair that can be similar
     rest = still_mixed(mixed.where(F.col("held") > SMALL).select("key", "n", "held"))

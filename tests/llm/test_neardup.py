@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.llm import neardup
 from lodestar.llm.neardup import components, deduplicate, gamma_tables, op3_weighted_minhash, samples
@@ -173,3 +174,27 @@ def test_a_text_meets_one_leader_a_round(spark, make_docs, monkeypatch):
     monkeypatch.setattr(neardup, "_verified", lambda pairs, *a, **k: seen.append(pairs.count()) or verified(pairs, *a, **k))
     got = neardup.near_duplicates(make_docs(rows)).select("class").distinct().count()
     assert got == 1 and seen[0] < 400 and sum(seen) < 1000, seen
+
+
+def test_parity_bits_never_lose_a_similar_pair(spark):
+    """Sets at all distances: what the bits rule out is not similar, and they rule out most of what is not."""
+    rng = np.random.default_rng(8)
+    table, rows, similar = np.full(neardup.DF_BUCKETS, 3, "float32"), [], []
+    for i in range(400):
+        n = int(rng.integers(1, 3000)) if i % 4 else int(rng.integers(20, 300))
+        base = rng.choice(2**32, n, replace=False).astype("uint32")
+        other = base.copy()
+        k = int(rng.integers(0, max(1, n // 4) + 1))
+        other[:k] = rng.choice(2**32, k).astype("uint32")
+        a, b = np.sort(np.repeat(base, rng.integers(1, 4, n))), np.sort(np.repeat(other, rng.integers(1, 4, n)))
+        similar.append(neardup.similarity(a, b, table, 50) >= neardup.THRESHOLD)
+        row = [i]
+        for x in (a, b):
+            ids, tf = neardup.runs_of(x)
+            row += [neardup.parity(ids).tolist(), float(neardup.weights(ids, tf, table, 50).sum()), len(ids)]
+        rows.append(tuple(row))
+    df = spark.createDataFrame(rows, "i int, xparity array<bigint>, xtotal double, xsize long, yparity array<bigint>, ytotal double, ysize long")
+    kept = {r["i"] for r in df.where(neardup.may_be_similar(lambda c: F.col(f"x{c}"), lambda c: F.col(f"y{c}"))).select("i").collect()}
+    assert {i for i, s in enumerate(similar) if s} <= kept
+    small_apart = [i for i in range(0, 400, 4) if not similar[i]]
+    assert len([i for i in small_apart if i in kept]) < 0.4 * len(small_apart)
