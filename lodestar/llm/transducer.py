@@ -7,16 +7,19 @@ left to right needs, for the last few places, only the token that ends there
 and the count so far.  That is a finite state; transitions are annotated with
 the change of the token count and compiled when first taken.
 
-White space ends a word in every state, so a chunk of text maps each entry
-state to an exit state in a compact form: the part before its first white
-space (which depends on the entry), the tokens of the words inside, and the
-part after its last white space (the exit).  Such maps compose associatively;
-a long text is cut into chunks anywhere, the chunks are mapped in parallel and
-their maps are combined by a scan, pairwise.
+Some places end a word in every state: white space, the sides of a digit, a
+letter before punctuation.  So a chunk of text maps each entry state to an exit
+state in a compact form: the part before its first such place (which depends on
+the entry), the tokens of the words inside, and the part after its last one
+(the exit).  Such maps compose associatively.  A long text is cut into chunks
+anywhere, the chunks are mapped in parallel, and ``FAN`` neighbouring maps at a
+time are combined, in as many rounds as that takes: no task holds all maps of a
+text.  A single word longer than chunks is all head and travels as text.
 
 Defined results: null text -> 0 bytes, 0 tokens; special strings inside a text
-are one token each, as the library counts them by default; repeated rows are
-counted each; an empty table gives an empty result.
+are one token each, as the library counts them by default; very long texts are
+counted whole; repeated rows are counted each; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import utf8_bytes
+from lodestar.session import stage
 
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_CHARS = 1 << 15
+FAN = 16  # chunk maps combined at a time
 LIMIT = 2048
 MEMO = 600_000  # words kept per task
 STATES = 400_000  # transitions kept per task
@@ -47,6 +52,10 @@ GENERAL = rf"{_SHORT}|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+"
 _L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 _LATIN = re.compile(f"{_SHORT}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _BREAK = re.compile(f"[{_SPACE}]")
+# where a word ends without white space, before a character that never joins
+# the one before it: at a digit, and from a letter to punctuation
+_ENDS = re.compile(r"(?<=[0-9])(?=[\x21-\x7e])|(?<=.)(?=[0-9])|(?<=[A-Za-z\u4e00-\u9fff])(?=[!-/:-@\[-`{-~\u3001-\u3003\uff01-\uff0f])")
+_SPECIAL_MOST = 15  # characters of the longest special string
 
 
 def byte_symbols() -> dict[str, int]:
@@ -195,15 +204,21 @@ class TextTransducer:
         return self._plain(text)
 
     def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """(head, tokens inside, tail); None: no white space, all is head."""
-        first = _BREAK.search(chunk)
-        if first is None:
-            return chunk, None, ""
-        last = len(chunk) - 1
-        while not _BREAK.match(chunk, last):
-            last -= 1
-        inside = self.count(chunk[first.start() : last + 1])
-        return chunk[: first.start()], inside, chunk[last + 1 :]
+        """(head, tokens inside, tail); None: no place to cut, all is head."""
+        found = _BREAK.search(chunk)
+        if found:
+            first, last = found.start(), len(chunk) - 1
+            while not _BREAK.match(chunk, last):
+                last -= 1
+            last += 1
+        else:
+            # never within what may be a special string
+            cuts = [m.start() for m in _ENDS.finditer(chunk)]
+            cuts = [c for c in cuts if c >= _SPECIAL_MOST and "<" not in chunk[c - _SPECIAL_MOST : c]]
+            if not cuts:
+                return chunk, None, ""
+            first, last = cuts[0], cuts[-1]
+        return chunk[:first], self.count(chunk[first:last]), chunk[last:]
 
     def compose(self, a: tuple, b: tuple) -> tuple:
         """The map of two neighbouring chunks."""
@@ -215,18 +230,22 @@ class TextTransducer:
             return a[0], a[1], a[2] + b[0]
         return a[0], a[1] + b[1] + self.count(a[2] + b[0]), b[2]
 
-    def total(self, maps: list[tuple]) -> int:
-        """Tokens of the text that the chunks in order make up: a scan that
-        halves the list of maps each time."""
-        while len(maps) > 1:
-            joined = [self.compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)]
-            maps = joined + ([maps[-1]] if len(maps) % 2 else [])
-        if not maps:
-            return 0
-        head, inside, tail = maps[0]
+    def joined(self, maps: list[tuple]) -> tuple:
+        """The map of neighbouring chunks in order."""
+        out = maps[0]
+        for m in maps[1:]:
+            out = self.compose(out, m)
+        return out
+
+    def total(self, chunk_map: tuple) -> int:
+        """Tokens of a text from the map of all of it."""
+        head, inside, tail = chunk_map
         return self.count(head) + (inside or 0) + self.count(tail)
 
 
+MAP = "doc struct<doc_id:bigint,n:bigint,n_bytes:bigint>, at int, chunks int, head string, inside bigint, tail string"
+
+
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) per document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -236,29 +255,50 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, chunk_chars: int
     )
     # rows are numbered before they are cut into chunks
     doc = F.struct("doc_id", F.monotonically_increasing_id().alias("n"), utf8_bytes("text").alias("n_bytes"))
-    chunks = docs.select(doc.alias("doc"), "text").select("doc", F.posexplode(pieces).alias("at", "chunk"))
+    cut = docs.select(doc.alias("doc"), F.explode(F.array(pieces)).alias("pieces"))
+    chunks = cut.select("doc", F.size("pieces").alias("chunks"), F.posexplode("pieces").alias("at", "chunk"))
 
-    def run_maps(batches: Iterator) -> Iterator:
+    def batch_of(doc, at, chunks, maps):
         import pyarrow as pa
 
+        kinds = (pa.string(), pa.int64(), pa.string())
+        cols = [pa.array([m[i] for m in maps], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([doc, at, chunks, *cols], names=["doc", "at", "chunks", "head", "inside", "tail"])
+
+    def run_maps(batches: Iterator) -> Iterator:
         t = TextTransducer(vocabulary)
         for batch in batches:
-            maps = [t.chunk_map(c) for c in batch.column(2).to_pylist()]
-            cols = [pa.array([m[i] for m in maps], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc", "at", "head", "inside", "tail"])
+            whole = [n == 1 for n in batch.column(2).to_pylist()]
+            texts = batch.column(3).to_pylist()
+            # a text of one chunk is counted at once
+            maps = [("", t.count(c), "") if w else t.chunk_map(c) for c, w in zip(texts, whole, strict=True)]
+            yield batch_of(batch.column(0), batch.column(1), batch.column(2), maps)
 
-    def run_scan(batches: Iterator) -> Iterator:
+    def run_joins(batches: Iterator) -> Iterator:
+        t = TextTransducer(vocabulary)
+        for batch in batches:
+            maps = [t.joined([(m["head"], m["inside"], m["tail"]) for m in some]) for some in batch.column(3).to_pylist()]
+            yield batch_of(batch.column(0), batch.column(1), batch.column(2), maps)
+
+    def run_totals(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         t = TextTransducer(vocabulary)
         for batch in batches:
-            n = [t.total([(m["head"], m["inside"], m["tail"]) for m in maps]) for maps in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
-
-    maps = chunks.mapInArrow(run_maps, "doc struct<doc_id:bigint,n:bigint,n_bytes:bigint>, at int, head string, inside bigint, tail string")
-    # a document's maps are short strings; its texts stay where they were read
-    whole = maps.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("at", "head", "inside", "tail"))).alias("maps"))
-    return whole.select("doc.doc_id", "doc.n_bytes", "maps").mapInArrow(run_scan, "doc_id long, n_bytes long, n_tokens long")
+            n = [t.total(m) for m in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), pa.array(n, pa.int64())], names=["doc_id", "n", "n_bytes", "n_tokens"])
+
+    maps = stage(chunks.select("doc", "at", "chunks", "chunk").mapInArrow(run_maps, MAP), "token_maps")
+    out = maps.where("chunks = 1").select("doc.doc_id", "doc.n_bytes", F.col("inside").alias("n_tokens"))
+    maps = maps.where("chunks > 1")
+    most = maps.agg(F.max("chunks").alias("n")).first()["n"] or 1
+    while most > 1:
+        group = [F.col("doc"), F.floor(F.col("at") / FAN).cast("int").alias("at"), F.ceil(F.col("chunks") / FAN).cast("int").alias("chunks")]
+        some = F.sort_array(F.collect_list(F.struct(F.col("at").alias("place"), "head", "inside", "tail"))).alias("maps")  # at most FAN
+        maps = maps.groupBy(*group).agg(some).select("doc", "at", "chunks", "maps").mapInArrow(run_joins, MAP)
+        maps, most = stage(maps, "token_maps"), -(-most // FAN)
+    long = maps.mapInArrow(run_totals, "doc_id long, n long, n_bytes long, n_tokens long")
+    return out.unionByName(long.select("doc_id", "n_bytes", "n_tokens"))
 
 
 def op6_transducer_counts(spark, sf_dir: str) -> DataFrame:
