@@ -1,6 +1,7 @@
 """Sharding by Hilbert-curve order [native].
 
-Several metadata columns are quantised to ``bits`` bits each, the cell's index
+Several metadata columns are quantised to ``bits`` bits each (strings by the
+rank of whole counted values), the cell's index
 on the n-dimensional Hilbert curve orders the rows, and the order is cut into
 runs.  Rows near each other in every dimension end up in the same shard, so a
 filter on any of the dimensions prunes files by their min/max statistics.
@@ -9,8 +10,9 @@ Rows are ranked by a range partitioning on (curve index, tie-break columns,
 row number): a hot cell spreads over many partitions, no task holds a whole
 shard, and only the narrow columns that the caller passes are moved.
 
-Defined results: null dimension -> cell 0; null text -> size 1 and crc 0;
-repeated rows keep one slot each; an empty table gives an empty result; input
+Defined results: null dimension -> cell 0; null text -> size 1 and crc 0; very
+long texts count whole; rows equal in curve index and tie-break columns are
+ordered by their place in the scan; repeated rows keep one slot each; an empty table gives an empty result; input
 columns named like the output (``shard``, ``slot``) are replaced.
 """
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm.common import prefix_sum, utf8_bytes
+from lodestar.operators.order_stats import running_sums
 from lodestar.session import stage
 
 
@@ -83,18 +86,30 @@ def hilbert_index(cells: Sequence[Column], bits: int) -> Column:
 
 
 def order_key(df: DataFrame, name: str) -> Column:
-    """A double that orders like the column: numbers and dates as they are,
-    strings by their first six bytes."""
+    """What orders like the column: whole strings, and a double for anything else."""
     kind = df.schema[name].dataType
     c = F.col(f"`{name}`")
     if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
-        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+        return c.cast("string")
     if isinstance(kind, (T.DateType, T.TimestampType)):
         return F.unix_timestamp(c).cast("double")
     return c.cast("double")
 
 
+def string_borders(df: DataFrame, name: str, parts: int) -> list[str]:
+    """At most ``parts`` - 1 values that cut the column into runs of about equal
+    frequency: values are counted first, and their counts summed in order by a
+    distributed running sum."""
+    counted = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))
+    counted = running_sums(counted, ["v"], ["n"], prefix="upto_", inclusive=True)
+    total = counted.agg(F.sum("n").alias("n")).first()["n"]
+    if not total:
+        return []
+    passed = lambda upto: F.floor(upto * parts / F.lit(total))
+    cut = (passed(F.col("upto_n")) > passed(F.col("upto_n") - F.col("n"))) & (F.col("upto_n") < total)
+    return sorted((r["v"] for r in counted.where(cut).select("v").collect()), key=str.encode)  # fewer than ``parts`` rows
+
+
 def assign_shards(
     df: DataFrame,
     dims: Sequence[str],
@@ -113,12 +128,18 @@ def assign_shards(
         *[order_key(df, d).alias(f"d{j}") for j, d in enumerate(dims)],
     )
     keyed = stage(keyed, "hilbert_rows")
-    # equal-frequency cell borders: 2**bits - 1 numbers per dimension
+    # equal-frequency cell borders: at most 2**bits - 1 values per dimension
     probs = [k / (1 << bits) for k in range(1, 1 << bits)]
-    borders = keyed.agg(*[F.percentile_approx(f"d{j}", probs, accuracy).alias(f"d{j}") for j in range(len(dims))]).first()
+    texts = [j for j in range(len(dims)) if isinstance(keyed.schema[f"d{j}"].dataType, T.StringType)]
+    numbers = [j for j in range(len(dims)) if j not in texts]
+    borders = {j: string_borders(keyed, f"d{j}", 1 << bits) for j in texts}
+    if numbers:
+        found = keyed.agg(*[F.percentile_approx(f"d{j}", probs, accuracy).alias(f"d{j}") for j in numbers]).first()
+        borders |= {j: sorted(set(found[f"d{j}"] or [])) for j in numbers}
 
     def cell(j: int) -> Column:
-        cuts = F.array(*[F.lit(float(b)) for b in sorted(set(borders[j] or []))]).cast("array<double>")
+        kind = "string" if j in texts else "double"
+        cuts = F.array(*[F.lit(b) for b in borders[j]]).cast(f"array<{kind}>")
         return F.coalesce(F.size(F.filter(cuts, lambda b: b < F.col(f"d{j}"))), F.lit(0))
 
     cells = keyed.select("row", "tie", *[cell(j).alias(f"c{j}") for j in range(len(dims))])

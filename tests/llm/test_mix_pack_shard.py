@@ -7,8 +7,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from lodestar.llm.hilbert import assign_shards, curve_tables, op9_hilbert_shards
+from lodestar.llm.hilbert import assign_shards, curve_tables, op9_hilbert_shards, string_borders
 from lodestar.llm.mixing import fair_mix, mix_documents, op7_fair_queue_mix
 from lodestar.llm.packing import op8_best_fit_pack, pack_documents, plan_sequences
 
@@ -240,3 +241,16 @@ def test_shards_empty_and_general_columns(spark, make_docs, sf_of):
     out = assign_shards(df, ["d", "day"], ["id"], n_shards=3, bits=3)
     assert out.columns == ["id", "d", "day", "text", "rank", "shard", "slot"]
     assert sorted(Counter(r["shard"] for r in out.collect()).values()) == [33, 33, 34]
+
+
+def test_strings_are_cut_by_rank_of_whole_values(spark):
+    """Sources with one long prefix are told apart."""
+    df = spark.range(4000).select(F.concat(F.lit("https://common.example.org/archive/"), F.lpad((F.col("id") % 40).cast("string"), 3, "0")).alias("source"), "id")
+    borders = string_borders(df, "source", 8)
+    assert borders == sorted(borders) and len(borders) == 7
+    sizes = sorted(r["n"] for r in assign_shards(df, ["source"], ["id"], n_shards=8, bits=3).groupBy("shard").agg(F.countDistinct("source").alias("n")).collect())
+    assert sizes == [5] * 8
+    hot = df.select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"), "id")
+    assert string_borders(hot, "source", 8)[0] == "hot"
+    odd = spark.createDataFrame([(None,), ("",), ("é" * 100_000,)], "source string")
+    assert string_borders(odd.where("source is null"), "source", 8) == [] and assign_shards(odd, ["source"], ["source"], n_shards=2).count() == 3
