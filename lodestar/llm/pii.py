@@ -3,10 +3,11 @@
 Generators with high recall propose overlapping spans.  Proposals that a
 strict pattern confirms (address syntax, octet range, check digit, number
 length) are reported as base kinds.  For the others, boosted trees judge the
-format and the context: they are fitted on the proposals of the corpus, where
+format and the context: they are fitted on all proposals of the corpus, where
 confirmation by a strict pattern is the label and no feature repeats that
-test.  A held-out fold calibrates the margin; the threshold is the least
-margin above which ``PRECISION`` of the held-out proposals are confirmed.  The
+test.  Proposals of equal features are one weighted row.  A held-out fold
+calibrates the margin; the threshold is the least margin above which
+``PRECISION`` of the held-out proposals are confirmed.  The
 trees become one column expression over the span, so texts are scored and
 redacted in place: no span is moved to another task.
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import bind, let, pick
 from lodestar.llm.spans import of_kind, overlaps_any, rendered, with_spans
+from lodestar.operators.order_stats import running_sums
 from lodestar.session import stage
 
 KINDS = ("email", "ip", "card", "phone", "contact", "number")
@@ -40,7 +42,6 @@ PATTERNS = {
     "contact": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:@|\x20?[\(\[]at[\)\]]\x20?)[A-Za-z0-9.-]{3,}",
     "number": r"[+(]?[0-9][0-9().\x20/-]{5,}[0-9]",
 }
-FIT_ROWS = 20_000  # most proposals that the trees are fitted on
 PRECISION = 0.98
 TREES, DEPTH = 10, 3
 SEED = 17
@@ -151,35 +152,28 @@ class Judge:
 
 
 def fit_judge(docs: DataFrame) -> Judge:
-    """Fits the trees on at most FIT_ROWS proposals (the smallest by hash of
-    their context), three quarters to fit and one to calibrate."""
+    """Fits the trees on all proposals, three of four (by hash of their context)
+    to fit and the others to calibrate; equal ones count as often as they occur."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     found = propose(docs.select("text"), ["text"]).select(F.explode("wide").alias("s"))
-    order = F.xxhash64(F.lit(SEED), "s.left", "s.value", "s.right")
-    sample = (
-        found.select(order.alias("order"), F.col("s.confirmed").cast("double").alias("label"), *[f.alias(n) for f, n in zip(features(F.col("s")), FEATURES, strict=True)])
-        .orderBy("order", *FEATURES)
-        .limit(FIT_ROWS)
-    )
-    sample = stage(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample), "pii_sample")
-    fold = F.pmod("order", F.lit(4))
-    fit, held = sample.where(fold > 0), sample.where(fold == 0)
+    fold = F.pmod(F.xxhash64(F.lit(SEED), "s.left", "s.value", "s.right"), F.lit(4))
+    each = found.select(fold.alias("fold"), F.col("s.confirmed").cast("double").alias("label"), *[f.alias(n) for f, n in zip(features(F.col("s")), FEATURES, strict=True)])
+    counted = each.groupBy("fold", "label", *FEATURES).agg(F.count("*").cast("double").alias("n"))
+    counted = stage(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(counted), "pii_proposals")
+    fit, held = counted.where("fold > 0"), counted.where("fold = 0")
     classes = {r["label"] for r in fit.select("label").distinct().collect()}
     if len(classes) < 2:
         return Judge([], [], None)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(fit)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="n").fit(fit)
     judge = Judge([t.toDebugString for t in model.trees], list(model.treeWeights), None)
-    # precision above each margin on the held-out fold (a tree ensemble has
-    # few distinct margins); the least margin that reaches PRECISION
-    margins = held.select(F.round(judge.margin([F.col(n) for n in FEATURES]), 6).alias("m"), "label")
-    steps = margins.groupBy("m").agg(F.sum("label").alias("yes"), F.count("*").alias("n")).orderBy(F.desc("m")).limit(FIT_ROWS).collect()
-    yes = n = 0
-    for r in steps:
-        yes, n = yes + r["yes"], n + r["n"]
-        if yes / (n + 1) >= PRECISION:
-            judge.threshold = r["m"] - 1e-6
+    # precision above each margin on the held-out fold; the least margin that
+    # reaches PRECISION
+    margins = held.select(F.round(judge.margin([F.col(n) for n in FEATURES]), 6).alias("m"), (F.col("label") * F.col("n")).alias("yes"), "n")
+    steps = running_sums(margins.groupBy("m").agg(F.sum("yes").alias("yes"), F.sum("n").alias("n")), [F.desc("m")], ["yes", "n"])
+    least = steps.where(F.col("cum_yes") / (F.col("cum_n") + 1) >= PRECISION).agg(F.min("m").alias("m")).first()["m"]
+    judge.threshold = None if least is None else least - 1e-6
     return judge
 
 

@@ -121,6 +121,23 @@ def test_redaction(spark, make_docs):
     assert texts[0] is None and texts[1] == "" and texts[51] == "nothing here, v3.0"
 
 
+def test_judge_learns_from_all_proposals(spark, monkeypatch):
+    """Before: from 20,000 of them, so equal proposals could fill the sample."""
+    from pyspark.ml.classification import GBTClassifier
+
+    texts = [(i, " ; ".join(["call +1 (555) 010-9999"] * 700 + ["id 12345678"] * 600 + [f"no {i}{j}.55.66" for j in range(10)])) for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    said, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows: said.append((self.getWeightCol(), rows)) or fit(self, rows))
+    proposed = pii.propose(docs.select("text"), ["text"]).select(F.explode("wide").alias("s"))
+    held = F.pmod(F.xxhash64(F.lit(pii.SEED), "s.left", "s.value", "s.right"), F.lit(4)) == 0
+    want = {(r["y"], r["held"]): r["n"] for r in proposed.groupBy(F.col("s.confirmed").cast("double").alias("y"), held.alias("held")).agg(F.count("*").alias("n")).collect()}
+    pii.fit_judge(docs)
+    ((weight, rows),) = said
+    got = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum(weight).alias("n")).collect()}
+    assert got == {y: n for (y, h), n in want.items() if not h} and sum(want.values()) > 25_000 and rows.count() < 1_000
+
+
 def test_trees_as_expression(spark):
     """The expression gives the margin of the fitted trees."""
     from pyspark.ml.classification import GBTClassifier
